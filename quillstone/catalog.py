@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from quillstone.queries import evaluation, operators, relational  # noqa: F401
+from quillstone.queries.base import ORACLES, QUERIES
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
