@@ -15,7 +15,6 @@ row. Labels, sources and ids are never inputs of a prediction. Extra columns pas
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -32,13 +31,12 @@ UNKNOWN = "und"
 #: Bytes of text that are worked on at a time: a bound on memory.
 SLAB = 1 << 21
 
-_LETTER = re.compile(r"[^\W\d_]")
 #: ASCII that is no letter counts as the space between words.
 _FOLD = np.array([x if x >= 128 or 97 <= x <= 122 else 32 for x in range(256)], dtype=np.uint8)
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and _LETTER.search(text) is not None
+    return bool(text) and any(map(str.isalpha, text))
 
 
 def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
