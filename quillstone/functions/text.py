@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -183,6 +181,28 @@ def wilson(k: Column, n: Column, z: float = 1.96) -> Column:
     return F.when(n == 0, F.struct(zero.alias("low"), zero.alias("high"))).otherwise(F.struct(low.alias("low"), high.alias("high")))
 
 
-def compile_like(text: str) -> str:
-    """A plain word as a regular expression."""
-    return re.escape(text)
+def surnames(byline: Column) -> Column:
+    """The distinct surnames of "Surname, Given; Surname G.; Given Surname", in order, in lower-case letters."""
+    name = split_names(byline)
+    with_comma = lambda x: F.substring_index(x, ",", 1)
+    initials_last = lambda x: F.regexp_replace(x, r"(\s+([A-Z]\.?)+)+$", "")
+    last_word = lambda x: F.substring_index(x, " ", -1)
+    surname = lambda x: F.when(F.contains(x, F.lit(",")), with_comma(x)).when(x.rlike(r"\s([A-Z]\.?)+$"), initials_last(x)).otherwise(last_word(x))
+    return F.array_sort(F.array_distinct(F.transform(name, lambda x: F.regexp_replace(F.lower(strip_accents(surname(x))), "[^a-z]", ""))))
+
+
+#: The classes and methods that a screening may give.
+EVIDENCE, METHODS = ("empirical", "conceptual", "review"), ("quantitative", "qualitative", "mixed_methods")
+
+
+def valid_screening(relevant: Column, evidence: Column, method: Column) -> Column:
+    """Forced choice: what is not relevant has no class, what is empirical has a method, nothing else has one."""
+    no_method = method.isNull()
+    return F.coalesce(
+        F.when(~relevant, evidence.isNull() & no_method).when(evidence == "empirical", method.isin(*METHODS)).when(evidence.isin(*EVIDENCE), no_method),
+        F.lit(False),
+    )
+
+
+def expand_screening(relevant: Column, evidence: Column, method: Column) -> Column:
+    return F.when(~relevant, "not_relevant").otherwise(F.concat_ws("/", evidence, method))

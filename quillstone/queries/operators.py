@@ -797,6 +797,76 @@ def negative_cache(t: Tables) -> DataFrame:
     return incremental.lookup(keys, cache, lambda missing: found.join(missing, "key", "left_semi"))[1]
 
 
+# What is left of the inventory.
+
+
+@frame("S8_checkpoint_guard", "select doc_id as id, 'v2' as version from documents")
+def checkpoint_guard(t: Tables) -> DataFrame:
+    """Results of an older version count as not done, and are made again."""
+    todo = t.documents.select(F.col("doc_id").alias("id"))
+    old = todo.where("id % 3 = 0").withColumn("version", F.lit("v1"))
+    return incremental.resume(todo, old, lambda rows: rows, ["id"], version="v2")
+
+
+@frame("S19_patch_with_checks", "select s_suppkey as id, case when s_suppkey % 6 = 0 and s_suppkey % 12 <> 0 then s_name || '*' else s_name end as name from supplier")
+def checked_patch(t: Tables) -> DataFrame:
+    """Changes that would not apply are held back before, and none is left after."""
+    table, patch = _names(t)
+    sound = quality.Patch("id", "name", patch.rows.join(patch.preflight(table), "id", "left_anti"))
+    return sound.apply(table)
+
+
+@frame("W3_ranked_arms", f"with {_HYB} select 'keyword' as arm, id, r as rank from k union all select 'semantic', id, r from s")
+def ranked_arms(t: Tables) -> DataFrame:
+    kw = search.ranked(search.keyword_search(_docs(t), "thanea thanedble", k=60), "score", "rank").select(F.lit("keyword").alias("arm"), "id", "rank")
+    return kw.unionAll(search.ranked(search.vector_search(_vectors(t), _first_vector(t), k=60), "similarity", "rank").select(F.lit("semantic"), "id", "rank"))
+
+
+@frame("X12_surname_sets", over("select paper_id, string_agg(distinct 'surname' || chr((97 + author_id % 7)::int), '|' order by 'surname' || chr((97 + author_id % 7)::int)) as surnames from paper_authors where paper_id < 500 group by 1"))
+def surname_sets(t: Tables) -> DataFrame:
+    name = F.concat(F.lit("Surname"), F.char((F.col("author_id") % 7 + 97).cast("long")), F.when(F.col("author_id") % 2 == 0, F.lit(", Ann")).otherwise(F.lit(" A.")))
+    bylines = view(t, "paper_authors").where("paper_id < 500").groupBy("paper_id").agg(F.array_join(F.collect_list(name), "; ").alias("authors"))
+    return bylines.select("paper_id", F.array_join(T.surnames(F.col("authors")), "|").alias("surnames"))
+
+
+@frame("X19_first_elements", "select n_nationkey as id, case when n_nationkey % 3 > 0 then n_name end as title, case when n_nationkey % 3 = 2 then 'Sub' end as subtitle from nation")
+def first_elements(t: Tables) -> DataFrame:
+    """First elements of nested arrays that may be empty."""
+    none = F.array().cast("array<string>")
+    k = F.col("n_nationkey") % 3
+    item = F.struct(F.when(k > 0, F.array("n_name")).otherwise(none).alias("title"), F.when(k == 2, F.array(F.lit("Sub"), F.lit("More"))).otherwise(none).alias("subtitle"))
+    back = F.from_json(F.to_json(item), "title array<string>, subtitle array<string>")
+    return t.nation.select(F.col("n_nationkey").alias("id"), F.get(back["title"], F.lit(0)).alias("title"), F.get(back["subtitle"], F.lit(0)).alias("subtitle"))
+
+
+@frame("X26_screening_codes", "select doc_id, quality = 1 or toxic = 0 as valid, case when quality = 1 and toxic = 0 then 'empirical/quantitative' when quality = 1 then 'empirical/qualitative' when toxic = 0 then 'not_relevant' end as code from labels")
+def screening(t: Tables) -> DataFrame:
+    relevant = F.col("quality") == 1
+    evidence = F.when(relevant, "empirical")
+    method = F.when(relevant, F.when(F.col("toxic") == 0, "quantitative").otherwise("qualitative")).when(F.col("toxic") == 1, "quantitative")
+    valid = T.valid_screening(relevant, evidence, method)
+    return t.labels.select("doc_id", valid.alias("valid"), F.when(valid, T.expand_screening(relevant, evidence, method)).alias("code"))
+
+
+@frame("L2_compatible_names", "select a.s_suppkey as a, b.s_suppkey as b from supplier a join supplier b on a.s_suppkey < b.s_suppkey and a.s_nationkey = b.s_nationkey where not (a.s_suppkey % 3 = 0 and b.s_suppkey % 3 = 1) and not (a.s_suppkey % 3 = 1 and b.s_suppkey % 3 = 0)")
+def compatible_pairs(t: Tables) -> DataFrame:
+    from quillstone.functions.names import compatible_udf
+
+    name = F.element_at(F.array(F.lit("Smith, Ann"), F.lit("Smith, Bea"), F.lit("Smith")), (F.col("s_suppkey") % 3 + 1).cast("int"))
+    one = t.supplier.select(F.col("s_suppkey").alias("a"), "s_nationkey", name.alias("x"))
+    pairs = one.join(one.select(F.col("a").alias("b"), "s_nationkey", F.col("x").alias("y")), "s_nationkey").where("a < b")
+    return pairs.where(compatible_udf("x", "y")).select("a", "b")
+
+
+@frame("L14_rule_arm", over("select verdict, count(*) as n from (select case when doi is null or doi not like 'oai:%' then 'no_rule_match' when id % 3 = 0 then 'candidate_not_in_crossref' when id % 3 = 1 then 'title_mismatch' else 'recovered' end as verdict from papers) x group by 1"))
+def recovered_by_rule(t: Tables) -> DataFrame:
+    p = view(t, "papers").select("id", "doi", "title")
+    registry = p.where("doi like 'oai:%' and id % 3 <> 0").select(F.concat(F.lit("10.5555/jssw."), F.col("id").cast("string")).alias("doi"), F.when(F.col("id") % 3 == 1, F.lit("another")).otherwise(F.col("title")).alias("title"))
+    made = T.oai_to_doi(F.col("doi"), "^oai:.*jssw-([0-9]+)$", "10.5555/JSSW.")
+    found = linkage.rule_arm(p, registry, candidate=made, sim=T.title_sim(T.norm_title(F.col("title")), T.norm_title(F.col("registry_title"))))
+    return found.groupBy("verdict").agg(F.count(F.lit(1)).alias("n"))
+
+
 # The eight questions about search.
 
 _E = f"with {_AND}, {_bm25(['ention'], 'tf0 > 0').replace('d0 as', 'd1 as').replace('from d0', 'from d1').replace('d as (select id, text', 'dd as (select id, text').replace('from d)', 'from dd)').replace('st as', 'st2 as').replace('from d cross join st ', 'from dd cross join st2 ').replace('kw as', 'kw2 as')}"
