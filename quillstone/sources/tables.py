@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,10 +23,11 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def views(self, prefix: str = "") -> None:
-        """Temporary views of all tables; a prefix keeps two collections apart."""
+    def views(self, prefix: str = "", only: str | None = None) -> None:
+        """Temporary views of the tables (that a text names); a prefix keeps two collections apart."""
         for name in NAMES:
-            getattr(self, name).createOrReplaceTempView(f"{prefix}{name}")
+            if only is None or re.search(rf"\b{name}\b", only):
+                getattr(self, name).createOrReplaceTempView(f"{prefix}{name}")
 
 
 def page(df: DataFrame, *, order: list[Column | str], size: int, number: int) -> DataFrame:

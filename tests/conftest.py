@@ -13,7 +13,8 @@ os.environ["PYTHONPATH"] = f"{REPO}:{os.environ.get('PYTHONPATH', '')}"
 def spark():
     from quillstone.session import session
 
-    s = session("local[4]", "tests", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
+    # Small tables: compiling each stage would take longer than running it.
+    s = session("local[4]", "tests", **{"spark.sql.codegen.wholeStage": "false", "spark.sql.shuffle.partitions": "3", "spark.driver.memory": "4g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     s.sparkContext.setLogLevel("OFF")
     yield s
     s.stop()
