@@ -25,24 +25,29 @@ def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def line_key(line: Column) -> Column:
-    return ascii_lower(F.btrim(line, F.lit(WHITE)))
+def line_keys(lines: Column) -> Column:
+    """The key of each line; a line is trimmed once, whatever the choice of lower-casing asks of it."""
+    trimmed = F.transform(lines, lambda x: F.btrim(x, F.lit(WHITE)))
+    return F.transform(trimmed, ascii_lower)
 
 
 def keyed_lines(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(doc_id, row_hash, pos, h1, h2, slice) of the lines that can be dropped."""
+    """(doc_id, row_hash, pos, h1, h2, slice) of the lines that can be dropped.
+
+    An outer explode works the keys out once, a plain one would once more to see whether there are any;
+    a slice that can't be null leaves both readers of the lines with one and the same exchange.
+    """
     row_hash = F.xxhash64("doc_id", "text")
     return (
-        docs.select("doc_id", row_hash.alias("row_hash"), F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
-        .select("doc_id", "row_hash", "pos", line_key(F.col("line")).alias("key"))
+        docs.select("doc_id", row_hash.alias("row_hash"), F.posexplode_outer(line_keys(lines_of(F.col("text")))).alias("pos", "key"))
         .where(F.char_length("key") >= min_chars)
         .select(
             "doc_id",
             "row_hash",
-            "pos",
+            F.coalesce("pos", F.lit(0)).alias("pos"),
             F.xxhash64("key").alias("h1"),
             F.xxhash64(F.lit(1), "key").alias("h2"),
-            F.pmod("row_hash", F.lit(SLICES)).cast("int").alias("slice"),
+            F.coalesce(F.pmod("row_hash", F.lit(SLICES)).cast("int"), F.lit(0)).alias("slice"),
         )
     )
 
