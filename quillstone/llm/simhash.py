@@ -80,13 +80,13 @@ def _fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         if waiting:
             prints.append(majority(waiting))
         fp = np.concatenate(prints).view(np.int64) if prints else np.empty(0, dtype=np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp)], ["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(fp)], ["doc_id", "text_hash", "fp"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) of every row; fp holds the 64 bits."""
+    """(doc_id, text_hash, fp) of every row; fp holds the 64 bits."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(_fingerprints, f"doc_id {id_type}, fp long")
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(_fingerprints, f"doc_id {id_type}, text_hash long, fp long")
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -217,28 +217,34 @@ def near_links(prints: DataFrame, *, limit: int = MAX_BITS, bits: int | None = N
     return dealt.mapInArrow(_search(limit), "u long, v long")
 
 
-def near_dedup(docs: DataFrame, *, limit: int = MAX_BITS, bits: int | None = None) -> DataFrame:
-    """(doc_id, fp, component_id) of every row: the smallest doc_id that links lead to."""
+def near_groups(docs: DataFrame, *, limit: int = MAX_BITS, bits: int | None = None) -> DataFrame:
+    """(doc_id, text_hash, fp, root, component_id) of every row; root tells groups apart."""
     marks = checkpoint(fingerprints(docs))
     prints = checkpoint(marks.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(near_links(prints.select("fp"), limit=limit, bits=bits))
     placed = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    names = placed.join(named, "root").select("fp", "component_id")
-    return marks.join(names, "fp").select("doc_id", "fp", "component_id")
+    names = placed.join(named, "root").select("fp", "root", "component_id")
+    return marks.join(names, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
+
+
+def near_dedup(docs: DataFrame, *, limit: int = MAX_BITS, bits: int | None = None) -> DataFrame:
+    """(doc_id, fp, component_id) of every row: the smallest doc_id that links lead to."""
+    return near_groups(docs, limit=limit, bits=bits).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, *, limit: int = MAX_BITS) -> DataFrame:
-    """docs with one document of each group of near copies: the one with the smallest doc_id.
+    """docs with one row of each group of near copies: one with the smallest doc_id, null if there is no other.
 
-    Of rows that share that doc_id one stays. A group without a doc_id keeps one row.
+    The key of a row is never null, so that the join and the choice among repeated rows share one shuffle.
     """
-    found = near_dedup(docs, limit=limit)
-    chosen = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("keep"), F.lpad(F.hex("fp"), 16, "0").alias("fp")).groupBy("keep").agg(F.min("fp"))
-    rows = docs.select(F.struct(*columns_of(docs)).alias("row")).withColumn("doc_id", F.col("row.doc_id"))
-    stay = rows.join(chosen.select("keep"), F.col("doc_id").eqNullSafe(F.col("keep")), "left_semi")
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("row.text"))
-    return unpack(stay.withColumn("nth", F.row_number().over(one)).where("nth = 1").select("row"))
+    no_id, an_id = F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0).cast(docs.schema["doc_id"].dataType))
+    key = ["no_id", "an_id", "text_hash"]
+    found = near_groups(docs, limit=limit)
+    chosen = found.groupBy("root").agg(F.min(F.struct(no_id.alias("no_id"), an_id.alias("an_id"), "text_hash")).alias("key")).select("key.*")
+    rows = docs.select(F.struct(*columns_of(docs)).alias("row"), no_id.alias("no_id"), an_id.alias("an_id"), F.xxhash64("text").alias("text_hash"))
+    one = Window.partitionBy(*key).orderBy(F.lit(0))
+    return unpack(rows.join(chosen, key, "left_semi").withColumn("nth", F.row_number().over(one)).where("nth = 1").select("row"))
 
 
 def hex_fingerprint(fp):
