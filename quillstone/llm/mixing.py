@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import WORD, columns_of, unpack
+from quillstone.llm.common import WORD, checkpoint, columns_of, tabled, unpack
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -35,6 +35,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def source_key(source: Column) -> Column:
+    """A name for each source that is never null, so that windows and joins share one partitioning."""
+    return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit(""))
+
+
 def source_targets(sizes: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, most: float = MOST, share: float = 1.0) -> DataFrame:
     """(source, source_size, weight, target) from (source, size); a row for each source.
 
@@ -88,32 +93,28 @@ def mix(docs: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, most: int = MO
     rounds: how often the mix takes the whole document; spans: runs (start, end) of its words that it
     takes once more, from 0; taken: the words of both.
     """
-    rows = docs.select(F.struct(*columns_of(docs)).alias("row"))
-    sized = rows.select("row", F.col("row.source").alias("source"), word_count(F.col("row.text")).alias("size"), F.xxhash64(F.lit(seed), "row.doc_id", "row.text").alias("draw"))
-    sizes = docs.select("source", word_count(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("draw"))
-    targets = source_targets(sizes.groupBy("source").agg(F.sum("size").alias("size")), weights=weights, most=most, share=share)
-    shard = F.pmod("draw", F.least(F.lit(MOST_SHARDS), F.expr(f"(source_size + {SHARD_WORDS - 1}) div {SHARD_WORDS}"), F.greatest(F.col("source_size"), F.lit(1)))).cast("int")
-    goals = targets.withColumn("seats_of_all", F.round(F.sum("target").over(Window.partitionBy()) / block).cast("long")).withColumn("all", F.lit(1))
+    size, draw = word_count(F.col("text")), F.xxhash64(F.lit(seed), "doc_id", "text")
+    counted = docs.select("source", source_key(F.col("source")).alias("key"), F.pmod(draw, F.lit(MOST_SHARDS)).alias("bin"), size.alias("size"))
+    bins = checkpoint(counted.groupBy("source", "key", "bin").agg(F.sum("size").alias("size")))
+    goals = source_targets(bins, weights=weights, most=most, share=share)
+    goals = goals.withColumn("seats_of_all", F.round(F.sum("target").over(Window.partitionBy()) / block).cast("long")).withColumn("all", F.lit(1))
     goals = apportion(goals, within=["all"], size="target", seats="seats_of_all", ties=["source"], into="blocks_of_source")
-    goals = goals.select(F.col("source").alias("g_source"), "source_size", "target", "blocks_of_source")
-    same_source = F.col("source").eqNullSafe(F.col("g_source"))
-    shards = (
-        sizes.join(goals, same_source)
-        .withColumn("shard", shard)
-        .groupBy("source", "shard")
-        .agg(F.sum("size").alias("words"), F.first("blocks_of_source").alias("blocks_of_source"), F.first("source_size").alias("source_size"), F.first("target").alias("target"))
-    )
-    quotas = apportion(shards, within=["source"], size="words", seats="blocks_of_source", ties=["shard"], into="quota")
+    n_shards = F.greatest(F.lit(1), F.least(F.lit(MOST_SHARDS), F.expr(f"(source_size + {SHARD_WORDS - 1}) div {SHARD_WORDS}")))
+    goals = tabled(goals.select(source_key(F.col("source")).alias("key"), "source_size", "target", "blocks_of_source", n_shards.alias("n_shards")))
+    shard = F.pmod("bin", "n_shards").cast("int")
+    shards = bins.drop("source").join(goals, "key").withColumn("shard", shard).groupBy("key", "shard", "source_size", "target", "blocks_of_source").agg(F.sum("size").alias("words"))
+    quotas = apportion(shards, within=["key"], size="words", seats="blocks_of_source", ties=["shard"], into="quota")
     given = F.least(F.col("quota") * block, F.col("words") * most)
     whole = F.when(F.col("words") > 0, F.expr("given div words")).otherwise(F.lit(0)).cast("long")
     n_blocks = F.expr(f"(words + {block - 1}) div {block}")
     plan = quotas.withColumn("given", given).withColumn("rounds", whole).withColumn("n_blocks", n_blocks)
     plan = plan.withColumn("chosen", F.when(F.col("words") > 0, F.round((F.col("given") - F.col("rounds") * F.col("words")) * F.col("n_blocks") / F.col("words"))).otherwise(F.lit(0)).cast("long"))
-    start = F.pmod(F.xxhash64(F.lit(seed), "source", "shard"), F.greatest(F.col("n_blocks"), F.lit(1)))
-    plan = plan.select(F.col("source").alias("p_source"), F.col("shard").alias("p_shard"), "source_size", "target", "words", "rounds", "n_blocks", "chosen", start.alias("start"))
-    placed = sized.join(goals.select("g_source", F.col("source_size").alias("source_size")), same_source).withColumn("shard", shard).drop("source_size", "g_source")
-    stream = Window.partitionBy("source", "shard").orderBy("draw", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    laid = placed.withColumn("till", F.sum("size").over(stream)).join(plan, F.col("source").eqNullSafe(F.col("p_source")) & (F.col("shard") == F.col("p_shard")))
+    start = F.pmod(F.xxhash64(F.lit(seed), "key", "shard"), F.greatest(F.col("n_blocks"), F.lit(1)))
+    plan = tabled(plan.select("key", "shard", "source_size", "target", "rounds", "n_blocks", "chosen", start.alias("start")))
+    rows = docs.select(F.struct(*columns_of(docs)).alias("row"), source_key(F.col("source")).alias("key"), size.alias("size"), draw.alias("draw")).withColumn("bin", F.pmod("draw", F.lit(MOST_SHARDS)))
+    placed = rows.join(goals.select("key", "n_shards"), "key").select("row", "key", "size", "draw", shard.alias("shard"))
+    stream = Window.partitionBy("key", "shard").orderBy("draw", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    laid = placed.withColumn("till", F.sum("size").over(stream)).join(plan, ["key", "shard"])
     picked = "pmod(b - start, n_blocks) < chosen"
     first, last = f"(till - size) div {block}", f"(till - 1) div {block}"
     spans = F.expr(
