@@ -1,4 +1,4 @@
-"""A training corpus from documents: five stages, each of them one operator over what the one before kept."""
+"""A training corpus from documents: six stages, each of them one operator over what the one before kept."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstone.llm import langid, line_dedup, mixing, packing, simhash
+from quillstone.llm import langid, line_dedup, mixing, packing, simhash, similar
 from quillstone.llm.queries import tokenizer_path
 
 
@@ -21,10 +21,15 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
+    """Of each group of near copies by SimHash the document with the smallest id stays."""
     return simhash.keep_one(docs)
 
 
+def similar_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that share 0.8 or more of their five-word shingles, and are no near copies by SimHash, one stays."""
+    return similar.keep_one(docs)
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often, and as much of them, as the mix takes."""
     return mixing.mixed_documents(docs)
@@ -35,7 +40,7 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.with_checksums(packing.pack(docs, tokenizer=tokenizer_path()))
 
 
-STAGES = [("language", language), ("lines", lines), ("near_copies", near_copies), ("mixture", mixture), ("sequences", sequences)]
+STAGES = [("language", language), ("lines", lines), ("near_copies", near_copies), ("similar_texts", similar_texts), ("mixture", mixture), ("sequences", sequences)]
 
 #: Fingerprints, apportionment and token ids are beyond SQL; tests hold run() against a brute-force version.
 ORACLE_SQL = None

@@ -233,20 +233,30 @@ def near_dedup(docs: DataFrame, *, limit: int = MAX_BITS, bits: int | None = Non
     return near_groups(docs, limit=limit, bits=bits).select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, *, limit: int = MAX_BITS) -> DataFrame:
-    """docs with one row of each group of near copies: one with the smallest doc_id, null if there is no other.
+def key_columns(docs: DataFrame) -> list:
+    """no_id, an_id and text_hash: the key of a row, never null."""
+    no_id, an_id = F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0).cast(docs.schema["doc_id"].dataType))
+    return [no_id.alias("no_id"), an_id.alias("an_id"), F.xxhash64("text").alias("text_hash")]
+
+
+def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """docs with one row of each group of found (no_id, an_id, text_hash, root): one with the smallest doc_id.
 
     The key of a row is never null, so that the join and the choice among repeated rows share one shuffle.
     """
-    no_id, an_id = F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0).cast(docs.schema["doc_id"].dataType))
     key = ["no_id", "an_id", "text_hash"]
-    found = near_groups(docs, limit=limit)
-    chosen = found.groupBy("root").agg(F.min(F.struct(no_id.alias("no_id"), an_id.alias("an_id"), "text_hash")).alias("key")).select("key.*")
-    rows = docs.select(F.struct(*columns_of(docs)).alias("row"), no_id.alias("no_id"), an_id.alias("an_id"), F.xxhash64("text").alias("text_hash"))
+    chosen = found.groupBy("root").agg(F.min(F.struct(*key)).alias("key")).select("key.*")
+    rows = docs.select(F.struct(*columns_of(docs)).alias("row"), *key_columns(docs))
     one = Window.partitionBy(*key).orderBy(F.lit(0))
     return unpack(rows.join(chosen, key, "left_semi").withColumn("nth", F.row_number().over(one)).where("nth = 1").select("row"))
 
 
+def keep_one(docs: DataFrame, *, limit: int = MAX_BITS) -> DataFrame:
+    """docs with one row of each group of near copies: one with the smallest doc_id, null if there is no other."""
+    no_id, an_id, _ = key_columns(docs)
+    return one_of_each(docs, near_groups(docs, limit=limit).select(no_id, an_id, "text_hash", "root"))
+
+
 def hex_fingerprint(fp):
     """16 lowercase hex digits."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
