@@ -26,7 +26,6 @@ BUCKETS = 1 << 16
 PER_LANG = 3000
 SMOOTHING = 0.5
 ROUNDS = 8
-MOST = 5
 UNKNOWN = "und"
 #: Bytes of text that are worked on at a time: a bound on memory.
 SLAB = 1 << 21
@@ -84,7 +83,7 @@ class Model:
             share = (np.add.reduceat(mix, first, axis=0) / n[:, None]).astype(np.float32)
         order = np.argsort(-share, axis=1, kind="stable")
         best, size = None, np.ones(len(full), dtype=np.int64)
-        for m in range(1, min(k, MOST) + 1):
+        for m in range(1, k + 1):
             kept = np.zeros_like(share)
             np.put_along_axis(kept, order[:, :m], np.take_along_axis(share, order[:, :m], axis=1) + 1e-9, axis=1)
             kept /= kept.sum(axis=1, keepdims=True)
