@@ -114,22 +114,6 @@ select doc_id, max(doc_id) over w keep_id, count(*) over w group_size, doc_id =
 from d window w as (partition by x)
 """
 
-_OP9 = f"""
-with l as (
-  select doc_id, i, line, sum(length(line) + 1) over (partition by doc_id order by i) - length(line) - 1 first_char
-  from (select doc_id, unnest(string_split(text, chr(10))) line, generate_subscripts(string_split(text, chr(10)), 1) i from documents)
-), u as (
-  select doc_id, first_char, first_char + length(line) till, trim(regexp_replace(translate(line, '{_UP}', '{_LOW}'), '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' ') k from l
-), w as (
-  select *, length(k) - length(replace(k, ' ', '')) + 1 words from u where k <> ''
-), f as (
-  select *, first_value(doc_id) over o keep_doc_id, first_value(first_char) over o keep_start from w where words >= {substring_dedup.MIN_WORDS}
-  window o as (partition by k order by doc_id nulls last, first_char)
-)
-select doc_id, cast(first_char as bigint) "start", cast(till as bigint) "end", cast(words as bigint) words, keep_doc_id, cast(keep_start as bigint) keep_start
-from f where not (doc_id = keep_doc_id and first_char = keep_start)
-"""
-
 _OP10 = f"""
 with l as (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) i from documents
@@ -147,4 +131,4 @@ from f group by doc_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_top_k": _OP4, "op5_chat": _OP5, "op8_exact_dedup": _OP8, "op9_substring_dedup": _OP9, "op10_line_dedup": _OP10}
+    return {"op4_top_k": _OP4, "op5_chat": _OP5, "op8_exact_dedup": _OP8, "op10_line_dedup": _OP10}

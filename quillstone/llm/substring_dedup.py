@@ -1,105 +1,308 @@
-"""Substring dedup by hashing lines or paragraphs.
+"""Substring dedup by hashing paragraphs, lines and pieces of lines.
 
-A document's units are its lines (or its paragraphs, between empty lines). Each unit of at least
-``min_words`` words is normalised - A-Z lower-cased, runs of white space one space - and hashed to 128
-bits. Digests are grouped over all documents, pre-aggregated in every task; the occurrence that ranks
-first, by doc_id and then by place, stays and every other is removed. Original offsets are kept.
+A document is a sequence of words: runs of other than white space, A-Z lower-cased. Its units are its
+paragraphs, its lines, and pieces between cuts that neighbouring words decide by themselves, so that a
+passage has the same pieces wherever it stands in a line. Units are hashed and their digests grouped
+over all documents, pre-aggregated in every task; the occurrence that ranks first, by doc_id and then by
+place, is the one to keep. Hits of a document that point to one kept document at one distance form a
+cluster. Both texts around a cluster are then compared word by word, which extends it to both sides and
+makes hash collisions harmless. What is equal over more than ``MORE_THAN`` words is a repeat, given with its original
+offsets. A repeat's kept place ranks before it, so a copy of every word stays.
 
-Defined results: a null text has no units. A null doc_id ranks last. Rows that share doc_id and place
-rank the same and stay together. Extra columns are not looked at.
+A stretch of hits that can't reach that length, even with all of the unshared pieces around it, is not
+compared; that loses nothing. A comparison reaches ``REACH`` words beyond a cluster, on either side, which is
+more than a repeat needs to be found, and what lies farther has hits of its own. A repeat is missed
+only if no whole unit of at least ``LEAST`` words lies in it.
+
+Defined results: a null or empty text has no words. A null doc_id ranks last. Rows equal in doc_id and
+text are one document; rows with the same doc_id and different texts are different ones, in the order of
+a hash of the text. Spans that different kept documents explain may overlap. Extra columns are not
+looked at.
 """
 
 from __future__ import annotations
 
-import hashlib
-import re
 from collections.abc import Iterable, Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import LOWER, UPPER, checkpoint, columns_of, unpack
+from quillstone.llm.common import checkpoint, columns_of, unpack
+from quillstone.llm.simhash import key_columns
+
+#: Words that a repeat must exceed.
+MORE_THAN = 50
+#: Words to each side that decide on a cut; the least words of a unit; the most of a piece.
+SIDE, LEAST, MOST = 4, 4, 32
+#: Words to each side of a cluster that are compared.
+REACH = 64
+#: Units that wait before they are written: a bound on memory.
+SLAB = 1 << 16
+
+_LETTERS = np.ones(256, dtype=bool)
+_LETTERS[[9, 10, 11, 12, 13, 32]] = False
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_BASE = np.uint64(0xD1342543DE82EF95)
+_BACK = np.uint64(pow(0xD1342543DE82EF95, -1, 1 << 64))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
+
+
+class _Powers:
+    """Powers of the base and of its inverse, as many as were asked for so far."""
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, dtype=np.uint64)
+
+    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > len(self.up):
+            size = max(4096, 1 << n.bit_length())
+            self.up, self.down = (np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(size, b, dtype=np.uint64)))) for b in (_BASE, _BACK))
+        return self.up[:n], self.down[:n]
+
+
+_POWERS = _Powers()
+
+
+class Words:
+    """The words of a text: hashes, and places in code points."""
+
+    def __init__(self, text: str | None):
+        data = (text or "").encode("utf-8", "surrogatepass")
+        raw = np.frombuffer(data, dtype=np.uint8)
+        inside = np.concatenate(([False], _LETTERS[raw], [False]))
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        self.words = data.lower().split()
+        first, last = edges[::2], edges[1::2]
+        chars = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))
+        self.starts, self.ends = chars[first], chars[last]
+        self.breaks = np.concatenate(([0], np.cumsum(raw == 10)))[first]
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+
+def cuts_of(hashes: np.ndarray) -> np.ndarray:
+    """Where pieces begin, and the end: words whose pair with the next hashes least among ``SIDE`` on either side."""
+    n = len(hashes)
+    pair = np.full(n, np.iinfo(np.uint64).max, dtype=np.uint64)
+    pair[:-1] = _mixed(hashes[:-1] * _ODD + hashes[1:])
+    padded = np.concatenate((np.full(SIDE, np.iinfo(np.uint64).max, dtype=np.uint64), pair, np.full(SIDE, np.iinfo(np.uint64).max, dtype=np.uint64)))
+    around = np.lib.stride_tricks.sliding_window_view(padded, 2 * SIDE + 1)
+    cut = (pair < around[:, :SIDE].min(axis=1)) & (pair <= around[:, SIDE + 1 :].min(axis=1))
+    bounds = np.concatenate(([0], np.flatnonzero(cut[1:]) + 1, [n]))
+    long = np.diff(bounds) > MOST
+    if not long.any():
+        return bounds
+    more = [np.arange(a, b, MOST) for a, b in zip(bounds[:-1][long].tolist(), bounds[1:][long].tolist(), strict=True)]
+    return np.unique(np.concatenate((bounds, *more)))
+
+
+def units_of(text: str | None) -> tuple[Words, list[np.ndarray]]:
+    """The words, and of each unit: digest, first word, words, the words that a repeat with it can reach from and to."""
+    w = Words(text)
+    n = len(w)
+    if not n:
+        return w, [np.empty(0, dtype=np.int64)] * 5
+    hashes = _mixed(np.fromiter(map(crc32, w.words), dtype=np.uint64, count=n) + _ODD)
+    bounds = cuts_of(hashes)
+    at, till = [bounds[:-1]], [bounds[1:]]
+    step = np.diff(w.breaks)
+    for gap in (1, 2):
+        begins = np.concatenate(([0], np.flatnonzero(step >= gap) + 1))
+        at.append(begins)
+        till.append(np.append(begins[1:], n))
+    a, b = np.concatenate(at), np.concatenate(till)
+    whole = b - a >= LEAST
+    a, b = np.unique(np.stack([a[whole], b[whole]]), axis=1) if whole.any() else (a[:0], b[:0])
+    up, down = _POWERS.of(n)
+    sums = np.concatenate(([np.uint64(0)], np.cumsum(hashes * up, dtype=np.uint64)))
+    digest = _mixed((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64)) if len(a) else np.empty(0, dtype=np.uint64)
+    low = bounds[np.maximum(np.searchsorted(bounds, a, side="right") - 2, 0)] - SIDE
+    high = bounds[np.minimum(np.searchsorted(bounds, b, side="left") + 1, len(bounds) - 1)] + SIDE
+    return w, [digest.view(np.int64), a, b - a, np.maximum(low, 0), np.minimum(high, n)]
+
+
+KEY = ["no_id", "an_id", "text_hash"]
+_UNIT = ["digest", "at", "n", "low", "high", "c0", "c1"]
 
-MIN_WORDS = 20
-_FOLD = str.maketrans(UPPER, LOWER)
-_PARAGRAPH = re.compile(r"\n[ \t\x0b\f\r]*\n\s*")
 
+def _units(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        owners, columns, size = [], [[] for _ in _UNIT], 0
 
-def units_of(text: str, unit: str) -> Iterator[tuple[int, str]]:
-    """(start, unit) in order; starts count code points."""
-    if unit == "line":
-        at = 0
-        for line in text.split("\n"):
-            yield at, line
-            at += len(line) + 1
-        return
-    at = 0
-    for gap in _PARAGRAPH.finditer(text):
-        yield at, text[at : gap.start()]
-        at = gap.end()
-    yield at, text[at:]
+        def out(owners=owners, columns=columns, batch=batch) -> pa.RecordBatch:
+            rows = pa.array(np.concatenate(owners) if owners else np.empty(0, dtype=np.int64), pa.int64())
+            values = [pa.array(np.concatenate(c).astype(np.int64) if c else np.empty(0, dtype=np.int64)) for c in columns]
+            for c in (owners, *columns):
+                c.clear()
+            return pa.RecordBatch.from_arrays([*(batch.column(k).take(rows) for k in KEY), *values], [*KEY, *_UNIT])
 
+        for row, x in enumerate(batch.column("text")):
+            w, found = units_of(x.as_py())
+            n, a = found[2], found[1]
+            if not len(a):
+                continue
+            owners.append(np.full(len(a), row))
+            for c, v in zip(columns, [*found, w.starts[np.maximum(a - REACH, 0)], w.ends[np.minimum(a + n + REACH, len(w)) - 1]], strict=True):
+                c.append(v)
+            size += len(a)
+            if size >= SLAB:
+                yield out()
+                size = 0
+        yield out()
 
-def normalise(unit: str) -> bytes:
-    return b" ".join(unit.encode("utf-8", "surrogatepass").lower().split())
 
+def units(docs: DataFrame) -> DataFrame:
+    """(no_id, an_id, text_hash, digest, at, n, low, high, c0, c1) of every unit.
 
-def _units(unit: str, min_words: int):
+    at, n: its first word and its words; low, high: how far a repeat without a further hit could reach;
+    c0, c1: the code points of the words within ``REACH``.
+    """
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"no_id boolean, an_id {id_type}, text_hash long, " + ", ".join(f"{c} long" for c in _UNIT)
+    return docs.select(*key_columns(docs), "text").mapInArrow(_units, schema)
+
+
+_HIT = ["at", "n", "low", "high", "c0", "c1", "k_at", "k_c0", "k_c1"]
+_CLUSTER = ["first", "last", "shift", "c0", "c1", "k_c0", "k_c1"]
+
+
+def clusters_of(hits: np.ndarray, kept: np.ndarray, more_than: int) -> tuple[np.ndarray, np.ndarray]:
+    """Clusters of one document's hits (columns as in _HIT), which kept[i] numbers by kept document.
+
+    Returns the rows of _CLUSTER and for each the number of a hit that belongs to it.
+    """
+    order = np.argsort(hits[:, 0], kind="stable")
+    hits, kept = hits[order], kept[order]
+    reach = np.maximum.accumulate(hits[:, 0] + hits[:, 1])
+    begins = np.concatenate(([True], hits[1:, 0] > reach[:-1] + SIDE))
+    first = np.flatnonzero(begins)
+    room = np.maximum.reduceat(hits[:, 3], first) - np.minimum.reduceat(hits[:, 2], first)
+    fit = (room > more_than)[np.cumsum(begins) - 1]
+    hits, kept, order = hits[fit], kept[fit], order[fit]
+    if not len(hits):
+        return np.empty((0, len(_CLUSTER)), dtype=np.int64), order
+    shift = hits[:, 6] - hits[:, 0]
+    by = np.lexsort((hits[:, 0], shift, kept))
+    hits, kept, shift, order = hits[by], kept[by], shift[by], order[by]
+    new = np.concatenate(([True], (kept[1:] != kept[:-1]) | (shift[1:] != shift[:-1]) | (hits[1:, 0] > (hits[:, 0] + hits[:, 1])[:-1] + REACH)))
+    first = np.flatnonzero(new)
+    low, high = np.minimum.reduceat, np.maximum.reduceat
+    rows = [hits[first, 0], high(hits[:, 0] + hits[:, 1], first), shift[first], low(hits[:, 4], first), high(hits[:, 5], first), low(hits[:, 7], first), high(hits[:, 8], first)]
+    return np.stack(rows, axis=1), order[first]
+
+
+def _clusters(more_than: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by document; one document's hits are held at a time."""
+        key, held = None, []
+        names = [*KEY, *(f"k_{c}" for c in KEY)]
+
+        def out() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held).combine_chunks()
+            hits = np.stack([table.column(c).to_numpy() for c in _HIT], axis=1)
+            same = pa.compute.dictionary_encode(pa.compute.binary_join_element_wise(*(table.column(f"k_{c}").cast(pa.string()) for c in KEY), ",")).combine_chunks()
+            rows, which = clusters_of(hits, same.indices.to_numpy(), more_than)
+            taken = table.select(names).take(pa.array(which))
+            return pa.RecordBatch.from_arrays([*(taken.column(c).combine_chunks() for c in names), *(pa.array(rows[:, i]) for i in range(len(_CLUSTER)))], [*names, *_CLUSTER])
+
         for batch in batches:
-            owner, starts, ends, words, digests = [], [], [], [], []
-            for row, x in enumerate(batch.column("text")):
-                for at, part in units_of(x.as_py() or "", unit):
-                    # So many words need so many characters and spaces between.
-                    if len(part) < 2 * min_words - 1:
-                        continue
-                    key = normalise(part)
-                    n = key.count(b" ") + 1 if key else 0
-                    if n >= min_words:
-                        owner.append(row)
-                        starts.append(at)
-                        ends.append(at + len(part))
-                        words.append(n)
-                        digests.append(hashlib.blake2b(key, digest_size=16).digest())
-            two = np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(owner, pa.int64())), pa.array(starts, pa.int64()), pa.array(ends, pa.int64()), pa.array(words, pa.int64()), pa.array(two[:, 0]), pa.array(two[:, 1])],
-                ["doc_id", "start", "end", "words", "d1", "d2"],
-            )
+            if not batch.num_rows:
+                continue
+            ids, texts = batch.column("an_id").to_numpy(zero_copy_only=False), batch.column("text_hash").to_numpy()
+            flags = batch.column("no_id").to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((ids[1:] != ids[:-1]) | (texts[1:] != texts[:-1]) | (flags[1:] != flags[:-1])) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ids)], strict=True):
+                now = (flags[a], ids[a], texts[a])
+                if now != key and held:
+                    yield out()
+                    held = []
+                key = now
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield out()
 
     return run
 
 
-def units(docs: DataFrame, *, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, start, end, words, d1, d2) of every unit that is long enough."""
+def runs_of(here: list[bytes], there: list[bytes], at: int, k_at: int) -> list[tuple[int, int]]:
+    """Maximal runs [a, b) of words of here that equal those of there, word ``at`` standing against ``k_at``."""
+    back = min(at, k_at)
+    left, right = here[at - back :], there[k_at - back :]
+    n = min(len(left), len(right))
+    equal = np.concatenate(([False], np.fromiter(map(bytes.__eq__, left[:n], right[:n]), dtype=bool, count=n), [False]))
+    edges = np.flatnonzero(equal[1:] != equal[:-1]) + at - back
+    return list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
+
+
+def _compare(more_than: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, spans = [], []
+            given = zip(*(batch.column(c).to_pylist() for c in ("first", "last", "shift", "c0", "k_c0", "here", "there")), strict=True)
+            for i, (first, last, shift, c0, k_c0, here, there) in enumerate(given):
+                w, k = Words(here), Words(there)
+                # Both slices begin with the word that is REACH before the cluster, or with the first.
+                from_word, k_from = max(0, first - REACH), max(0, first + shift - REACH)
+                for a, b in runs_of(w.words, k.words, first - from_word, first + shift - k_from):
+                    if b - a > more_than and a + from_word < last and b + from_word > first:
+                        at = a + from_word + shift - k_from
+                        rows.append(i)
+                        spans.append((c0 + int(w.starts[a]), c0 + int(w.ends[b - 1]), b - a, k_c0 + int(k.starts[at])))
+            numbers = np.array(spans, dtype=np.int64).reshape(-1, 4)
+            names = [*KEY, *(f"k_{c}" for c in KEY)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(rows, pa.int64())) for c in names), *(pa.array(numbers[:, j]) for j in range(4))], [*names, "start", "end", "words", "keep_start"])
+
+    return run
+
+
+def _id(no_id: str, an_id: str):
+    return F.when(~F.col(no_id), F.col(an_id))
+
+
+def spans(docs: DataFrame, *, more_than: int = MORE_THAN) -> DataFrame:
+    """(no_id, an_id, text_hash, start, end, words, k_..., keep_start): a row for each span to remove."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(_units(unit, min_words), f"doc_id {id_type}, start long, end long, words long, d1 long, d2 long")
+    keys = f"no_id boolean, an_id {id_type}, text_hash long, k_no_id boolean, k_an_id {id_type}, k_text_hash long"
+    found = checkpoint(units(docs))
+    place = F.struct(*KEY, "at", "c0", "c1")
+    firsts = found.groupBy("digest").agg(F.min(place).alias("k"), F.count(F.lit(1)).alias("many")).where("many > 1").select("digest", "k")
+    own = F.struct(*KEY, "at") == F.struct(*(F.col(f"k.{c}") for c in [*KEY, "at"]))
+    hits = found.join(firsts, "digest").where(~own).select(*KEY, *(F.col(f"k.{c}").alias(f"k_{c}") for c in KEY), "at", "n", "low", "high", "c0", "c1", *(F.col(f"k.{c}").alias(f"k_{c}") for c in ("at", "c0", "c1")))
+    dealt = hits.repartition(*KEY).sortWithinPartitions(*KEY)
+    groups = checkpoint(dealt.mapInArrow(_clusters(more_than), keys + "".join(f", {c} long" for c in _CLUSTER)))
+    texts = docs.select(*key_columns(docs), "text").where(F.col("text").isNotNull())
+    cut = lambda c0, c1: F.substring("text", (F.col(c0) + 1).cast("int"), (F.col(c1) - F.col(c0)).cast("int"))
+    with_own = groups.join(texts, KEY).withColumn("here", cut("c0", "c1")).drop("text")
+    kept = texts.select(*(F.col(c).alias(f"k_{c}") for c in KEY), "text")
+    both = with_own.join(kept, [f"k_{c}" for c in KEY]).withColumn("there", cut("k_c0", "k_c1")).drop("text")
+    compared = both.mapInArrow(_compare(more_than), f"{keys}, start long, end long, words long, keep_start long")
+    return compared.distinct()
 
 
-def repeats(docs: DataFrame, *, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
+def repeats(docs: DataFrame, *, more_than: int = MORE_THAN) -> DataFrame:
     """(doc_id, start, end, words, keep_doc_id, keep_start): a row for each span to remove."""
-    found = checkpoint(units(docs, unit=unit, min_words=min_words))
-    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("keep_doc_id"), F.col("start").alias("keep_start"))
-    firsts = found.groupBy("d1", "d2").agg(F.min(rank).alias("keep"), F.count(F.lit(1)).alias("n")).where("n > 1").select("d1", "d2", "keep.keep_doc_id", "keep.keep_start")
-    return (
-        found.join(firsts, ["d1", "d2"])
-        .where(~(F.col("doc_id").eqNullSafe(F.col("keep_doc_id")) & (F.col("start") == F.col("keep_start"))))
-        .select("doc_id", "start", "end", "words", "keep_doc_id", "keep_start")
-    )
+    found = spans(docs, more_than=more_than)
+    return found.select(_id("no_id", "an_id").alias("doc_id"), "start", "end", "words", _id("k_no_id", "k_an_id").alias("keep_doc_id"), "keep_start")
 
 
-def without_repeats(docs: DataFrame, *, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
+def without_repeats(docs: DataFrame, *, more_than: int = MORE_THAN) -> DataFrame:
     """docs with the repeated spans cut out of their texts."""
-    spans = repeats(docs, unit=unit, min_words=min_words).select("doc_id", "start", "end").distinct()
-    cuts = spans.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cuts")).withColumnRenamed("doc_id", "c_doc")
-    joined = docs.select(F.struct(*columns_of(docs)).alias("row")).join(cuts, F.col("row.doc_id").eqNullSafe(F.col("c_doc")), "left")
+    cuts = spans(docs, more_than=more_than).groupBy(*KEY).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("cuts"))
+    joined = docs.select(F.struct(*columns_of(docs)).alias("row"), *key_columns(docs)).join(cuts, KEY, "left")
     text = F.col("row.text")
+    piece = lambda a, b: F.substring(text, (a + 1).cast("int"), F.greatest(b - a, F.lit(0)).cast("int"))
     kept = F.aggregate(
         "cuts",
         F.struct(F.lit("").alias("text"), F.lit(0).cast("long").alias("at")),
-        lambda a, c: F.struct(F.concat(a["text"], F.substring(text, a["at"] + 1, c["start"] - a["at"])).alias("text"), c["end"].alias("at")),
-        lambda a: F.concat(a["text"], F.substring(text, a["at"] + 1, F.char_length(text))),
+        lambda a, c: F.struct(F.concat(a["text"], piece(a["at"], c["start"])).alias("text"), F.greatest(a["at"], c["end"]).alias("at")),
+        lambda a: F.concat(a["text"], piece(a["at"], F.char_length(text).cast("long"))),
     )
     return unpack(joined.select(F.col("row").withField("text", F.when(F.col("cuts").isNull(), text).otherwise(kept)).alias("row")))

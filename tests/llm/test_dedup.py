@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -162,15 +163,64 @@ def test_components(spark):
     assert got == {x: find(x) for x in linked}
 
 
-def test_substrings(spark):
-    a = " ".join(f"alpha{i}" for i in range(25))
-    b = " ".join(f"beta{i}" for i in range(60))
-    rows = [(3, f"x\n{a}\ny"), (1, f"{a.upper()}  \n{b}"), (2, f"é{b}\n  {b.replace(' ', '  ')}\n\n{a}"), (4, None), (5, ""), (None, a)]
+def _prose(rng, n):
+    return [f"{rng.choice('bcdfgk')}{rng.randrange(400)}" for _ in range(n)]
+
+
+def test_passages_that_begin_and_end_inside_lines(spark):
+    """Against brute force: every word of a run of over 50 that an earlier place has is covered, and no other."""
+    rng = random.Random(4)
+    passages = [_prose(rng, n) for n in (51, 60, 90, 200, 50, 30)]
+    rows = []
+    for i in range(60):
+        words = _prose(rng, rng.randrange(0, 160))
+        for p in rng.sample(passages, rng.randrange(0, 3)):
+            cut = rng.randrange(len(words) + 1)
+            words[cut:cut] = p
+        rows.append((i, "".join(w.upper() * (rng.random() < 0.1) or w + rng.choice([" ", " ", "  ", ". ", "\n", "\n\n"]) for w in words)))
+        rows[-1] = (i, re.sub(r"(?<=[A-Z0-9])(?=[A-Z])", " ", rows[-1][1]))
+    rows += [rows[3], (None, rows[5][1]), (61, None), (62, ""), (63, "\n \t"), (3, rows[7][1])]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {(r.doc_id, r.start, r.keep_doc_id, r.keep_start) for r in substring_dedup.repeats(docs).collect()}
-    second = len(f"é{b}\n")
-    third = second + len("  " + b.replace(" ", "  ")) + 2
-    assert got == {(3, 2, 1, 0), (2, second, 1, len(a) + 3), (2, third, 1, 0), (None, 0, 1, 0)}
-    out = {r.doc_id: r.text for r in substring_dedup.without_repeats(docs).collect()}
-    assert out[3] == "x\n\ny" and out[2] == f"é{b}\n\n\n" and out[1] == rows[1][1] and out[4] is None and out[None] == ""
-    assert [r.start for r in substring_dedup.repeats(docs, unit="paragraph").collect()] != []
+    got = substring_dedup.repeats(docs).collect()
+    texts = defaultdict(set)
+    for d, x in rows:
+        texts[d].add(x)
+    split = lambda x: (x or "").encode().lower().split()
+    for r in got:
+        assert r.words > 50
+        assert any(len(split(x[r.start : r.end])) == r.words and any(split((y or "")[r.keep_start :])[: r.words] == split(x[r.start : r.end]) for y in texts[r.keep_doc_id]) for x in texts[r.doc_id] if x)
+    seen, need = {}, defaultdict(set)
+    order = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0))
+    known = [r for r in order if r[0] not in (3,)]
+    for d, x in order:
+        w = split(x)
+        for i in range(len(w) - 50):
+            k = tuple(w[i : i + 51])
+            if k in seen and d not in (3,):
+                need[d].update(range(i, i + 51))
+            seen.setdefault(k, d)
+    assert known
+    covered = defaultdict(set)
+    for r in got:
+        for x in texts[r.doc_id]:
+            before = len(split(x[: r.start])) if x else 0
+            covered[r.doc_id].update(range(before, before + r.words))
+    for d in set(need) | set(covered) - {3}:
+        assert need[d] == covered[d], d
+
+
+def test_substrings_of_odd_rows(spark, odd):
+    got = {(r.doc_id, r.start, r.words, r.keep_doc_id, r.keep_start) for r in substring_dedup.repeats(odd).collect()}
+    whole = {(17, 0, 60000, 16, 0), (18, 0, 60000, 16, 0)}
+    assert whole == got
+    out = {(r.doc_id, r.text) for r in substring_dedup.without_repeats(odd).collect()}
+    assert {d: t for d, t in out if d in (17, 18)} == {17: "", 18: " end"}
+    assert {(d, t) for d, t in out if d not in (17, 18)} == {(r[0], r[1]) for r in fx.odd_documents() if r[0] not in (17, 18)}
+
+
+def test_a_passage_that_a_third_of_all_documents_hold(spark):
+    rng = random.Random(6)
+    passage = " ".join(_prose(rng, 70))
+    rows = [(i, f"{' '.join(_prose(rng, 9))} {passage} {' '.join(_prose(rng, 9))}" if i % 3 == 0 else " ".join(_prose(rng, 70))) for i in range(900)]
+    got = substring_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in got} == set(range(3, 900, 3)) and {r.keep_doc_id for r in got} == {0} and {r.words for r in got} == {70}
