@@ -223,4 +223,4 @@ def test_a_passage_that_a_third_of_all_documents_hold(spark):
     passage = " ".join(_prose(rng, 70))
     rows = [(i, f"{' '.join(_prose(rng, 9))} {passage} {' '.join(_prose(rng, 9))}" if i % 3 == 0 else " ".join(_prose(rng, 70))) for i in range(900)]
     got = substring_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {r.doc_id for r in got} == set(range(3, 900, 3)) and {r.keep_doc_id for r in got} == {0} and {r.words for r in got} <= {70, 71, 72}
+    assert {r.doc_id for r in got} == {r.doc_id for r in got if r.keep_doc_id == 0} == set(range(3, 900, 3)) and min(r.words for r in got) == 70
