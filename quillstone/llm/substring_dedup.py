@@ -3,8 +3,9 @@
 A document is a sequence of words: runs of other than white space, A-Z lower-cased. Its units are its
 paragraphs, its lines, and pieces between cuts that neighbouring words decide by themselves, so that a
 passage has the same pieces wherever it stands in a line. Units are hashed and their digests grouped
-over all documents, pre-aggregated in every task; the occurrence that ranks first, by doc_id and then by
-place, is the one to keep. Hits of a document that point to one kept document at one distance form a
+over all documents: within slices of a digest first, so that a unit that a third of all documents hold is spread
+over ``SLICES`` tasks, then over slices. The occurrence that ranks first, by doc_id and then by place, is
+the one to keep. Hits of a document that point to one kept document at one distance form a
 cluster. Both texts around a cluster are then compared word by word, which extends it to both sides and
 makes hash collisions harmless. What is equal over more than ``MORE_THAN`` words is a repeat, given with its original
 offsets. A repeat's kept place ranks before it, so a copy of every word stays.
@@ -27,16 +28,20 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillstone.llm.common import checkpoint, columns_of, unpack
-from quillstone.llm.simhash import key_columns
 
 #: Words that a repeat must exceed.
 MORE_THAN = 50
 #: Words to each side that decide on a cut; the least words of a unit; the most of a piece.
-SIDE, LEAST, MOST = 4, 4, 32
+SIDE, LEAST, MOST = 5, 4, 32
+#: Words of the largest unit: what is longer has smaller ones.
+LARGEST = (1 << 18) - 1
+#: Tasks over which a unit's occurrences are dealt.
+SLICES = 64
 #: Words to each side of a cluster that are compared.
 REACH = 64
 #: Units that wait before they are written: a bound on memory.
@@ -119,7 +124,7 @@ def units_of(text: str | None) -> tuple[Words, list[np.ndarray]]:
         at.append(begins)
         till.append(np.append(begins[1:], n))
     a, b = np.concatenate(at), np.concatenate(till)
-    whole = b - a >= LEAST
+    whole = (b - a >= LEAST) & (b - a <= LARGEST)
     a, b = np.unique(np.stack([a[whole], b[whole]]), axis=1) if whole.any() else (a[:0], b[:0])
     up, down = _POWERS.of(n)
     sums = np.concatenate(([np.uint64(0)], np.cumsum(hashes * up, dtype=np.uint64)))
@@ -129,8 +134,24 @@ def units_of(text: str | None) -> tuple[Words, list[np.ndarray]]:
     return w, [digest.view(np.int64), a, b - a, np.maximum(low, 0), np.minimum(high, n)]
 
 
-KEY = ["no_id", "an_id", "text_hash"]
-_UNIT = ["digest", "at", "n", "low", "high", "c0", "c1"]
+KEY = ["no_id", "an_id", "twin"]
+_UNIT = ["digest", "place", "window"]
+
+
+def key_columns(docs: DataFrame) -> list:
+    """no_id, an_id and twin, which tells texts of one doc_id apart: a document's key, never null."""
+    an_id = F.coalesce("doc_id", F.lit(0).cast(docs.schema["doc_id"].dataType))
+    return [F.col("doc_id").isNull().alias("no_id"), an_id.alias("an_id"), F.hash("text").alias("twin")]
+
+
+def packed(at: np.ndarray, n: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Place of a unit in one number that sorts by ``at``; low and high are at most 3 pieces away."""
+    return at << 34 | n << 16 | (at - low) << 8 | (high - at - n)
+
+
+def unpacked(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    at, n = place >> 34, place >> 16 & LARGEST
+    return at, n, at - (place >> 8 & 255), at + n + (place & 255)
 
 
 def _units(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,18 +160,18 @@ def _units(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
         def out(owners=owners, columns=columns, batch=batch) -> pa.RecordBatch:
             rows = pa.array(np.concatenate(owners) if owners else np.empty(0, dtype=np.int64), pa.int64())
-            values = [pa.array(np.concatenate(c).astype(np.int64) if c else np.empty(0, dtype=np.int64)) for c in columns]
+            values = [pa.array(np.concatenate(c) if c else np.empty(0, dtype=np.int64)) for c in columns]
             for c in (owners, *columns):
                 c.clear()
             return pa.RecordBatch.from_arrays([*(batch.column(k).take(rows) for k in KEY), *values], [*KEY, *_UNIT])
 
         for row, x in enumerate(batch.column("text")):
-            w, found = units_of(x.as_py())
-            n, a = found[2], found[1]
+            w, (digest, a, n, low, high) = units_of(x.as_py())
             if not len(a):
                 continue
             owners.append(np.full(len(a), row))
-            for c, v in zip(columns, [*found, w.starts[np.maximum(a - REACH, 0)], w.ends[np.minimum(a + n + REACH, len(w)) - 1]], strict=True):
+            c0 = w.starts[np.maximum(a - REACH, 0)]
+            for c, v in zip(columns, [digest, packed(a, n, low, high), c0 << 32 | (w.ends[np.minimum(a + n + REACH, len(w)) - 1] - c0)], strict=True):
                 c.append(v)
             size += len(a)
             if size >= SLAB:
@@ -160,43 +181,43 @@ def _units(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def units(docs: DataFrame) -> DataFrame:
-    """(no_id, an_id, text_hash, digest, at, n, low, high, c0, c1) of every unit.
+    """(no_id, an_id, twin, digest, place, window) of every unit.
 
-    at, n: its first word and its words; low, high: how far a repeat without a further hit could reach;
-    c0, c1: the code points of the words within ``REACH``.
+    place: its first word, its words, and how far a repeat without a further hit could reach; window:
+    the code points of the words within ``REACH``.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"no_id boolean, an_id {id_type}, text_hash long, " + ", ".join(f"{c} long" for c in _UNIT)
+    schema = f"no_id boolean, an_id {id_type}, twin int, " + ", ".join(f"{c} long" for c in _UNIT)
     return docs.select(*key_columns(docs), "text").mapInArrow(_units, schema)
 
 
-_HIT = ["at", "n", "low", "high", "c0", "c1", "k_at", "k_c0", "k_c1"]
 _CLUSTER = ["first", "last", "shift", "c0", "c1", "k_c0", "k_c1"]
 
 
-def clusters_of(hits: np.ndarray, kept: np.ndarray, more_than: int) -> tuple[np.ndarray, np.ndarray]:
-    """Clusters of one document's hits (columns as in _HIT), which kept[i] numbers by kept document.
+def clusters_of(place: np.ndarray, window: np.ndarray, k_place: np.ndarray, k_window: np.ndarray, kept: np.ndarray, more_than: int) -> tuple[np.ndarray, np.ndarray]:
+    """Clusters of one document's hits, which kept[i] numbers by kept document.
 
     Returns the rows of _CLUSTER and for each the number of a hit that belongs to it.
     """
-    order = np.argsort(hits[:, 0], kind="stable")
-    hits, kept = hits[order], kept[order]
-    reach = np.maximum.accumulate(hits[:, 0] + hits[:, 1])
-    begins = np.concatenate(([True], hits[1:, 0] > reach[:-1] + SIDE))
+    order = np.argsort(place, kind="stable")
+    at, n, low, high = unpacked(place[order])
+    reach = np.maximum.accumulate(at + n)
+    begins = np.concatenate(([True], at[1:] > reach[:-1] + SIDE))
     first = np.flatnonzero(begins)
-    room = np.maximum.reduceat(hits[:, 3], first) - np.minimum.reduceat(hits[:, 2], first)
+    room = np.maximum.reduceat(high, first) - np.minimum.reduceat(low, first)
     fit = (room > more_than)[np.cumsum(begins) - 1]
-    hits, kept, order = hits[fit], kept[fit], order[fit]
-    if not len(hits):
+    at, n, order = at[fit], n[fit], order[fit]
+    if not len(at):
         return np.empty((0, len(_CLUSTER)), dtype=np.int64), order
-    shift = hits[:, 6] - hits[:, 0]
-    by = np.lexsort((hits[:, 0], shift, kept))
-    hits, kept, shift, order = hits[by], kept[by], shift[by], order[by]
-    new = np.concatenate(([True], (kept[1:] != kept[:-1]) | (shift[1:] != shift[:-1]) | (hits[1:, 0] > (hits[:, 0] + hits[:, 1])[:-1] + REACH)))
+    shift = unpacked(k_place[order])[0] - at
+    by = np.lexsort((at, shift, kept[order]))
+    at, end, shift, order = at[by], (at + n)[by], shift[by], order[by]
+    kept, c0, k_c0 = kept[order], window[order] >> 32, k_window[order] >> 32
+    c1, k_c1 = c0 + (window[order] & 0xFFFFFFFF), k_c0 + (k_window[order] & 0xFFFFFFFF)
+    new = np.concatenate(([True], (kept[1:] != kept[:-1]) | (shift[1:] != shift[:-1]) | (at[1:] > end[:-1] + REACH)))
     first = np.flatnonzero(new)
-    low, high = np.minimum.reduceat, np.maximum.reduceat
-    rows = [hits[first, 0], high(hits[:, 0] + hits[:, 1], first), shift[first], low(hits[:, 4], first), high(hits[:, 5], first), low(hits[:, 7], first), high(hits[:, 8], first)]
-    return np.stack(rows, axis=1), order[first]
+    least, most = np.minimum.reduceat, np.maximum.reduceat
+    return np.stack([at[first], most(end, first), shift[first], least(c0, first), most(c1, first), least(k_c0, first), most(k_c1, first)], axis=1), order[first]
 
 
 def _clusters(more_than: int):
@@ -207,16 +228,16 @@ def _clusters(more_than: int):
 
         def out() -> pa.RecordBatch:
             table = pa.Table.from_batches(held).combine_chunks()
-            hits = np.stack([table.column(c).to_numpy() for c in _HIT], axis=1)
-            same = pa.compute.dictionary_encode(pa.compute.binary_join_element_wise(*(table.column(f"k_{c}").cast(pa.string()) for c in KEY), ",")).combine_chunks()
-            rows, which = clusters_of(hits, same.indices.to_numpy(), more_than)
+            place, window, k_place, k_window = (table.column(c).to_numpy() for c in ("place", "window", "k_place", "k_window"))
+            same = pc.dictionary_encode(pc.binary_join_element_wise(*(table.column(f"k_{c}").cast(pa.string()) for c in KEY), ",")).combine_chunks()
+            rows, which = clusters_of(place, window, k_place, k_window, same.indices.to_numpy(), more_than)
             taken = table.select(names).take(pa.array(which))
             return pa.RecordBatch.from_arrays([*(taken.column(c).combine_chunks() for c in names), *(pa.array(rows[:, i]) for i in range(len(_CLUSTER)))], [*names, *_CLUSTER])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids, texts = batch.column("an_id").to_numpy(zero_copy_only=False), batch.column("text_hash").to_numpy()
+            ids, texts = batch.column("an_id").to_numpy(zero_copy_only=False), batch.column("twin").to_numpy()
             flags = batch.column("no_id").to_numpy(zero_copy_only=False)
             cuts = np.flatnonzero((ids[1:] != ids[:-1]) | (texts[1:] != texts[:-1]) | (flags[1:] != flags[:-1])) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ids)], strict=True):
@@ -268,16 +289,19 @@ def _id(no_id: str, an_id: str):
 
 
 def spans(docs: DataFrame, *, more_than: int = MORE_THAN) -> DataFrame:
-    """(no_id, an_id, text_hash, start, end, words, k_..., keep_start): a row for each span to remove."""
+    """(no_id, an_id, twin, start, end, words, k_..., keep_start): a row for each span to remove."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    keys = f"no_id boolean, an_id {id_type}, text_hash long, k_no_id boolean, k_an_id {id_type}, k_text_hash long"
-    found = checkpoint(units(docs))
-    place = F.struct(*KEY, "at", "c0", "c1")
-    firsts = found.groupBy("digest").agg(F.min(place).alias("k"), F.count(F.lit(1)).alias("many")).where("many > 1").select("digest", "k")
-    own = F.struct(*KEY, "at") == F.struct(*(F.col(f"k.{c}") for c in [*KEY, "at"]))
-    hits = found.join(firsts, "digest").where(~own).select(*KEY, *(F.col(f"k.{c}").alias(f"k_{c}") for c in KEY), "at", "n", "low", "high", "c0", "c1", *(F.col(f"k.{c}").alias(f"k_{c}") for c in ("at", "c0", "c1")))
-    dealt = hits.repartition(*KEY).sortWithinPartitions(*KEY)
-    groups = checkpoint(dealt.mapInArrow(_clusters(more_than), keys + "".join(f", {c} long" for c in _CLUSTER)))
+    keys = f"no_id boolean, an_id {id_type}, twin int, k_no_id boolean, k_an_id {id_type}, k_twin int"
+    # A slice that can't be null leaves both readers of the units with one and the same exchange.
+    cell = ["digest", "slice"]
+    dealt = units(docs).withColumn("slice", F.coalesce(F.pmod("twin", F.lit(SLICES)), F.lit(0))).repartition(*cell)
+    here = F.struct(*KEY, "place", "window")
+    heads = dealt.groupBy(*cell).agg(F.min(here).alias("k"), F.count(F.lit(1)).alias("many"))
+    over = Window.partitionBy("digest")
+    firsts = heads.select(*cell, F.min("k").over(over).alias("k"), F.sum("many").over(over).alias("many")).where("many > 1").select(*cell, "k")
+    hits = dealt.join(firsts, cell).where(here != F.col("k")).select(*KEY, "place", "window", *(F.col(f"k.{c}").alias(f"k_{c}") for c in [*KEY, "place", "window"]))
+    sorted_hits = hits.repartition(*KEY).sortWithinPartitions(*KEY)
+    groups = checkpoint(sorted_hits.mapInArrow(_clusters(more_than), keys + "".join(f", {c} long" for c in _CLUSTER)))
     texts = docs.select(*key_columns(docs), "text").where(F.col("text").isNotNull())
     cut = lambda c0, c1: F.substring("text", (F.col(c0) + 1).cast("int"), (F.col(c1) - F.col(c0)).cast("int"))
     with_own = groups.join(texts, KEY).withColumn("here", cut("c0", "c1")).drop("text")
