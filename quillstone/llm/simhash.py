@@ -1,15 +1,21 @@
 """SimHash near-dedup over a Gray-order hierarchical index.
 
 A document's fingerprint is the bitwise majority of the XXH64 hashes of its word shingles. Copies
-collapse at once: only distinct fingerprints are indexed. The index is a tree of masked bit patterns.
-Its upper node is a cell, the fingerprints that agree in their first bits; a fingerprint visits the
-cells whose pattern differs from its own in no more bits than allowed. In a cell the fingerprints are
-sorted by Gray rank and cut into groups of ``LEAF``; a lower node keeps the bits on which its group
-agrees, and a whole group is pruned when the differences on those bits are already too many. Of the
-links found in a cell only a spanning forest is written, which leaves the components as they are.
-
-The number of leading bits follows from the number of fingerprints, so cells stay at about ``CELL``
-fingerprints; fuller cells are cut into blocks. No cell, group or component is collected.
+collapse at once: only distinct fingerprints are indexed. The 64 bits are cut into ``limit + 3`` blocks.
+Two fingerprints that differ in no more than ``limit`` bits agree in three blocks at least, so each
+fingerprint goes into one bucket for every choice of three blocks: ten buckets at two bits, however many
+fingerprints there are. A bucket with more than ``BUCKET`` fingerprints is cut the same way once more,
+by the bits on which its members may still differ: then they agree in about 51 bits, and a bucket can't hold more
+than some 2^13 fingerprints.
+
+In a bucket the fingerprints are sorted by Gray rank and form a tree. A node keeps the bits on which all
+below it agree and which its parent doesn't have yet; a search accumulates differences from the root
+down and prunes a node, with all below it, once they exceed the limit. Buckets of at most ``SMALL`` are leaves:
+their members are compared directly. Of the links found in a bucket that has a tree only a spanning forest is
+written, which leaves the components as they are. No bucket, group or component is collected.
+
+``keep_one`` is for a corpus: it takes texts whose sets of five-word shingles have a similarity of 0.8 or
+more as near copies, see ``similar``.
 
 Defined results: a null text has no words. A text without words has fingerprint zero and is linked
 like any other. A null doc_id takes part but never names a component unless all its members are null.
@@ -18,7 +24,6 @@ Rows equal in doc_id each get a row. Extra columns are not looked at.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Iterator
 from itertools import combinations
 
@@ -34,8 +39,9 @@ from quillstone.llm.components import components
 SHINGLE = 3
 SEED = 42
 MAX_BITS = 2
-CELL = 384
-LEAF = 16
+BUCKET = 4096
+SMALL = 32
+FAN = 16
 #: Shingle hashes whose bits are counted at a time, and queries searched at a time: bounds on memory.
 SPAN = 1 << 17
 QUERIES = 1 << 13
@@ -98,28 +104,40 @@ def gray_rank(codes: np.ndarray) -> np.ndarray:
 
 
 class GrayIndex:
-    """Codes in Gray order, in groups with the pattern of the bits on which the group agrees."""
+    """A tree over codes in Gray order; each node has the bits its codes agree on and its parent's don't."""
 
     def __init__(self, codes: np.ndarray):
         self.codes = codes[np.argsort(gray_rank(codes))]
-        starts = np.arange(0, len(codes), LEAF)
-        every, some = np.bitwise_and.reduceat(self.codes, starts), np.bitwise_or.reduceat(self.codes, starts)
-        self.mask, self.pattern = ~(every ^ some), every
-        full = np.concatenate((self.codes, np.repeat(self.codes[-1:], -len(codes) % LEAF)))
-        self.groups = full.reshape(-1, LEAF)
+        every, some, levels = [self.codes], [self.codes], []
+        while len(every[-1]) > 1 or len(every) == 1:
+            starts = np.arange(0, len(every[-1]), FAN)
+            every.append(np.bitwise_and.reduceat(every[-1], starts))
+            some.append(np.bitwise_or.reduceat(some[-1], starts))
+        agreed = np.zeros(1, dtype=np.uint64)
+        for e, s in zip(reversed(every), reversed(some), strict=True):
+            parents = agreed[np.arange(len(e)) // FAN]
+            agreed = ~(e ^ s)
+            levels.append((e, agreed & ~parents))
+        #: From the root to the codes: patterns, and masks of what is new at the node.
+        self.levels = levels
 
     def search(self, queries: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
         """(query number, code) of each link within ``limit`` bits."""
         who, what = [], []
         for at in range(0, len(queries), QUERIES):
-            part = queries[at : at + QUERIES]
-            near = np.bitwise_count((part[:, None] ^ self.pattern[None, :]) & self.mask[None, :]) <= limit
-            q, g = np.nonzero(near)
-            for b in range(0, len(q), SPAN):
-                found = np.bitwise_count(part[q[b : b + SPAN], None] ^ self.groups[g[b : b + SPAN]]) <= limit
-                i, j = np.nonzero(found)
-                who.append(q[b : b + SPAN][i] + at)
-                what.append(self.groups[g[b : b + SPAN][i], j])
+            q = np.arange(at, min(at + QUERIES, len(queries)))
+            node, off = np.zeros(len(q), dtype=np.int64), np.zeros(len(q), dtype=np.int64)
+            for depth, (pattern, mask) in enumerate(self.levels):
+                if depth:
+                    node = (node[:, None] * FAN + np.arange(FAN)).ravel()
+                    q, off = np.repeat(q, FAN), np.repeat(off, FAN)
+                    there = node < len(pattern)
+                    q, off, node = q[there], off[there], node[there]
+                off = off + np.bitwise_count((queries[q] ^ pattern[node]) & mask[node])
+                near = off <= limit
+                q, off, node = q[near], off[near], node[near]
+            who.append(q)
+            what.append(self.codes[node])
         return (np.concatenate(who), np.concatenate(what)) if who else (np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64))
 
 
@@ -158,79 +176,98 @@ def _links(index: GrayIndex, forest: Forest, queries: np.ndarray, limit: int) ->
     return out + [(a, b) for a, b in pairs.tolist() if forest.join(a, b)]
 
 
-def _search(limit: int):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, own, index, forest = None, [], None, Forest()
+def _small_links(key: np.ndarray, codes: np.ndarray, limit: int) -> list[np.ndarray]:
+    """(u, v) of links between neighbours of one key, fewer than ``SMALL`` places apart."""
+    out = []
+    for step in range(1, SMALL):
+        same = key[step:] == key[:-step]
+        if not same.any():
+            break
+        at = np.flatnonzero(same)
+        near = at[np.bitwise_count(codes[at] ^ codes[at + step]) <= limit]
+        out.append(np.stack([codes[near], codes[near + step]], axis=1))
+    return out
 
-        def out(links: list[tuple[int, int]]) -> pa.RecordBatch:
-            both = np.array(links, dtype=np.uint64).reshape(-1, 2).view(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["u", "v"])
 
-        def built() -> list[tuple[int, int]]:
-            nonlocal index, forest
-            codes = np.concatenate(own)
-            index, forest = GrayIndex(codes), Forest()
-            return _links(index, forest, codes, limit)
+def _search(limit: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by bucket; what a batch ends with waits for the rest of its bucket."""
+        keys, codes = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64)
+
+        def links(key: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
+            first = np.flatnonzero(np.diff(key, prepend=key[:1] - 1)) if len(key) else np.empty(0, dtype=np.int64)
+            sizes = np.diff(np.append(first, len(key)))
+            small = np.repeat(sizes <= SMALL, sizes)
+            found = _small_links(key[small], fp[small], limit)
+            for i in np.flatnonzero(sizes > SMALL).tolist():
+                bucket = np.unique(fp[first[i] : first[i] + sizes[i]])
+                if len(bucket) > 1:
+                    found.append(np.array(_links(GrayIndex(bucket), Forest(), bucket, limit), dtype=np.uint64).reshape(-1, 2))
+            both = np.concatenate([np.empty((0, 2), dtype=np.uint64), *found]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["u", "v"])
 
         for batch in batches:
-            cell, block, role, fp = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "block", "role", "fp"))
-            codes = fp.view(np.uint64)
-            cuts = np.flatnonzero((np.diff(cell) != 0) | (np.diff(block) != 0) | (np.diff(role) != 0)) + 1
-            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(cell)], strict=True):
-                if a == b:
-                    continue
-                if key != (now := (cell[a], block[a])):
-                    if own and index is None:
-                        yield out(built())
-                    key, own, index = now, [], None
-                if role[a] == 0:
-                    own.append(codes[a:b])
-                elif own:
-                    if index is None:
-                        yield out(built())
-                    yield out(_links(index, forest, codes[a:b], limit))
-        if own and index is None:
-            yield out(built())
+            keys = np.concatenate((keys, batch.column("bucket").to_numpy()))
+            codes = np.concatenate((codes, batch.column("fp").to_numpy().view(np.uint64)))
+            turns = np.flatnonzero(keys[1:] != keys[:-1])
+            last = int(turns[-1]) + 1 if len(turns) else 0
+            if last:
+                yield from links(keys[:last], codes[:last])
+                keys, codes = keys[last:], codes[last:]
+        if len(keys):
+            yield from links(keys, codes)
 
     return run
 
 
-def prefix_bits(count: int) -> int:
-    """Leading bits that leave about ``CELL`` of so many fingerprints in a cell."""
-    return max(0, min(40, math.ceil(math.log2(max(1, count) / CELL)))) if count > CELL else 0
+def _masks(bits: int, blocks: int, kept: int) -> list[int]:
+    """The lowest ``bits`` bits cut into blocks: a mask for each choice of so many blocks."""
+    edges = [bits * i // blocks for i in range(blocks + 1)]
+    parts = [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:], strict=False)]
+    return [sum(c) for c in combinations(parts, kept)]
+
+
+def _spread(mask: int, within: int) -> int:
+    """The bits of ``within``, lowest first, that ``mask`` chooses."""
+    places = [i for i in range(64) if within >> i & 1]
+    return sum(1 << p for i, p in enumerate(places) if mask >> i & 1)
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
 
 
-def near_links(prints: DataFrame, *, limit: int = MAX_BITS, bits: int | None = None) -> DataFrame:
-    """(u, v): links between distinct fingerprints ``fp`` within ``limit`` bits, as forests by block."""
-    bits = prefix_bits(prints.count()) if bits is None else bits
-    prints = prints.withColumn("cell", F.shiftrightunsigned("fp", 64 - bits) if bits else F.lit(0).cast("long"))
-    hot = prints.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 4 * CELL).select("cell", F.expr(f"(n + {CELL - 1}) div {CELL}").alias("blocks"))
-    block = F.pmod(F.xxhash64("fp"), F.col("blocks"))
-    own = prints.join(hot, "cell", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).select("cell", block.alias("block"), "fp", "blocks")
-    flips = [sum(1 << i for i in c) for k in range(1, limit + 1) for c in combinations(range(bits), k)]
-    visits = prints.select("fp", F.col("cell").alias("home"), F.explode(F.array(*[F.lit(m).cast("long") for m in flips]) if flips else F.expr("cast(array() as array<bigint>)")).alias("flip"))
-    visits = visits.select(F.col("home").bitwiseXOR(F.col("flip")).alias("cell"), "home", "fp").where("cell > home")
-    visits = visits.join(hot, "cell", "left").select("cell", F.explode(F.expr("sequence(0L, coalesce(blocks, 1L) - 1)")).alias("block"), "fp")
-    within = own.where("blocks > 1").select("cell", F.explode(F.expr("filter(sequence(0L, blocks - 1), x -> x > block)")).alias("block"), "fp")
-    rows = own.select("cell", "block", F.lit(0).alias("role"), "fp").unionByName(visits.unionByName(within).select("cell", "block", F.lit(1).alias("role"), "fp"))
-    dealt = rows.repartition("cell", "block").sortWithinPartitions("cell", "block", "role")
-    return dealt.mapInArrow(_search(limit), "u long, v long")
+def near_links(prints: DataFrame, *, limit: int = MAX_BITS) -> DataFrame:
+    """(u, v): links between distinct fingerprints ``fp`` that hold all components within ``limit`` bits."""
+    outer = _masks(64, limit + 3, 3)
+    bucket = lambda masks: F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(_signed(m)))) for i, m in enumerate(masks)])
+    rows = prints.select("fp", F.posexplode(bucket(outer)).alias("choice", "bucket"))
+    full = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BUCKET).select("bucket", F.lit(True).alias("full"))
+    marked = rows.join(full, "bucket", "left")
+    inner = F.array(
+        *[
+            F.array(*[F.xxhash64(F.lit(len(outer)), "bucket", F.lit(j), F.col("fp").bitwiseAND(F.lit(_signed(m | _spread(k, ~m & (1 << 64) - 1))))) for j, k in enumerate(_masks(64 - m.bit_count(), limit + 2, 2))])
+            for m in outer
+        ]
+    )
+    dealt = marked.select("fp", F.explode(F.when(F.col("full"), F.get(inner, F.col("choice"))).otherwise(F.array("bucket"))).alias("bucket"))
+    return dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_search(limit), "u long, v long")
 
 
-def near_groups(docs: DataFrame, *, limit: int = MAX_BITS, bits: int | None = None) -> DataFrame:
+def near_groups(docs: DataFrame, *, limit: int = MAX_BITS) -> DataFrame:
     """(doc_id, text_hash, fp, root, component_id) of every row; root tells groups apart."""
     marks = checkpoint(fingerprints(docs))
     prints = checkpoint(marks.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = components(near_links(prints.select("fp"), limit=limit, bits=bits))
+    roots = components(near_links(prints.select("fp"), limit=limit))
     placed = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     names = placed.join(named, "root").select("fp", "root", "component_id")
     return marks.join(names, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
-def near_dedup(docs: DataFrame, *, limit: int = MAX_BITS, bits: int | None = None) -> DataFrame:
+def near_dedup(docs: DataFrame, *, limit: int = MAX_BITS) -> DataFrame:
     """(doc_id, fp, component_id) of every row: the smallest doc_id that links lead to."""
-    return near_groups(docs, limit=limit, bits=bits).select("doc_id", "fp", "component_id")
+    return near_groups(docs, limit=limit).select("doc_id", "fp", "component_id")
 
 
 def key_columns(docs: DataFrame) -> list:

@@ -104,23 +104,23 @@ def test_near(spark, odd):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(set(least.values()))
 
 
-@pytest.mark.parametrize("bits", [None, 0, 3, 7])
-def test_links_against_all_pairs(spark, bits, monkeypatch):
+@pytest.mark.parametrize(("bucket", "limit"), [(4096, 2), (3, 2), (40, 2), (5, 1), (3, 3)])
+def test_links_against_all_pairs(spark, bucket, limit, monkeypatch):
     rng = random.Random(5)
     base = [rng.getrandbits(64) for _ in range(60)]
     codes = set(base)
     for b in base:
-        for _ in range(12):
+        for _ in range(150 if b == base[0] else 12):
             x = b
             for _ in range(rng.randint(1, 3)):
                 x ^= 1 << rng.randrange(64)
             codes.add(x)
     codes |= {0, (1 << 64) - 1, 1, 3, 7}
-    monkeypatch.setattr(simhash, "CELL", 24)
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
     prints = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in codes], "fp long")
-    links = [(r.u & (1 << 64) - 1, r.v & (1 << 64) - 1) for r in simhash.near_links(prints, bits=bits).collect()]
-    assert all(1 <= (a ^ b).bit_count() <= 2 for a, b in links) or max((a ^ b).bit_count() for a, b in links) <= 4
-    want = fx.components(sorted(codes))
+    links = [(r.u & (1 << 64) - 1, r.v & (1 << 64) - 1) for r in simhash.near_links(prints, limit=limit).collect()]
+    assert max((a ^ b).bit_count() for a, b in links) <= 2 * limit
+    want = fx.components(sorted(codes), limit)
     up = {x: x for x in codes}
 
     def find(x):
@@ -143,6 +143,14 @@ def test_gray_order_and_index():
     queries = rng.integers(0, 1 << 12, 300, dtype=np.uint64)
     who, what = simhash.GrayIndex(own).search(queries, 2)
     got = {(int(q), int(c)) for q, c in zip(who, what, strict=True)}
+    for codes in (own[:1], own[:16], own[:17], own[:300]):
+        index = simhash.GrayIndex(codes)
+        masks = [m for _, m in index.levels]
+        assert sorted(index.levels[-1][0].tolist()) == codes.tolist() and len(masks[0]) == 1
+        node = np.arange(len(codes))
+        for m in reversed(masks):
+            assert len(m) > node.max()
+            node = node // simhash.FAN
     assert got == {(i, int(c)) for i, q in enumerate(queries) for c in own if int(q ^ c).bit_count() <= 2}
 
 
