@@ -288,10 +288,14 @@ def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     return unpack(rows.join(chosen, key, "left_semi").withColumn("nth", F.row_number().over(one)).where("nth = 1").select("row"))
 
 
-def keep_one(docs: DataFrame, *, limit: int = MAX_BITS) -> DataFrame:
-    """docs with one row of each group of near copies: one with the smallest doc_id, null if there is no other."""
-    no_id, an_id, _ = key_columns(docs)
-    return one_of_each(docs, near_groups(docs, limit=limit).select(no_id, an_id, "text_hash", "root"))
+def keep_one(docs: DataFrame) -> DataFrame:
+    """docs with one row of each group of near copies: one with the smallest doc_id, null if there is no other.
+
+    For a corpus: five words a shingle and a similarity of 0.8 or more, exactly, see ``similar``.
+    """
+    from quillstone.llm.similar import similar_groups
+
+    return one_of_each(docs, similar_groups(docs))
 
 
 def hex_fingerprint(fp):

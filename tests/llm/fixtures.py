@@ -86,3 +86,24 @@ def dedup_lines(rows: list[tuple], min_chars: int = 20, min_docs: int = 3) -> li
                 keep.append(x)
         out.append((doc, len(lines), len(lines) - len(keep), "\n".join(keep)))
     return out
+
+
+def shingles(text):
+    words = WORD.findall(ascii_lower(text or ""))
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or ({tuple(words)} if words else set())
+
+
+def similar_groups(texts):
+    """A label for each text: those linked at a similarity of 0.8 of five-word shingles share it."""
+    sets, up = [shingles(t) for t in texts], list(range(len(texts)))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or 5 * len(a & b) >= 4 * len(a | b):
+                up[find(i)] = find(j)
+    return [find(i) for i in range(len(texts))]

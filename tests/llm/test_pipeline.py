@@ -35,15 +35,13 @@ def check(spark, tmp_path, docs):
     assert Counter((r.doc_id, r.lang, r.source) for r in after) == Counter((r.doc_id, r.lang, r.source) for r in before)
     assert all(r.n_chars in (len(r.text), None) for r in after)
     before, after = found["near_copies"]
-    prints = [(r.doc_id, fx.simhash(r.text)) for r in before]
-    label = fx.components([p for _, p in prints])
+    of = dict(zip((r.text for r in before), fx.similar_groups([r.text for r in before]), strict=True))
     least: dict = {}
-    for doc, p in prints:
-        if doc is not None:
-            least[label[p]] = min(doc, least.get(label[p], doc))
-    groups = Counter(label[p] for _, p in prints)
-    assert Counter(label[fx.simhash(r.text)] for r in after) == Counter(dict.fromkeys(groups, 1))
-    assert all(r.doc_id == least.get(label[fx.simhash(r.text)]) for r in after)
+    for r in before:
+        if r.doc_id is not None:
+            least[of[r.text]] = min(r.doc_id, least.get(of[r.text], r.doc_id))
+    assert Counter(of[r.text] for r in after) == Counter(dict.fromkeys(of.values(), 1))
+    assert all(r.doc_id == least.get(of[r.text]) for r in after)
     assert set(after) <= set(before)
     before, after = found["mixture"]
     sizes, target, taken = Counter(), {}, Counter()

@@ -6,30 +6,10 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from quillstone.llm import similar
+from quillstone.llm import simhash, similar
 from tests.llm import fixtures as fx
 
 
-def shingles(text):
-    words = fx.WORD.findall(fx.ascii_lower(text or ""))
-    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or ({tuple(words)} if words else set())
-
-
-def groups(texts):
-    sets, up = [shingles(t) for t in texts], list(range(len(texts)))
-
-    def find(x):
-        while up[x] != x:
-            x = up[x]
-        return x
-
-    for i, a in enumerate(sets):
-        for j, b in enumerate(sets[:i]):
-            if a == b or 5 * len(a & b) >= 4 * len(a | b):
-                up[find(i)] = find(j)
-    return [find(i) for i in range(len(texts))]
-
-
 def rows(spark):
     rng = random.Random(8)
     texts = [None, "", " \n", "two words", "TWO\twords", "two word"]
@@ -45,17 +25,50 @@ def rows(spark):
     return [(i, t) for i, t in enumerate(texts)]
 
 
+def similar_one(spark, docs):
+    return sorted(r.doc_id for r in simhash.keep_one(spark.createDataFrame(docs, "doc_id long, text string")).collect())
+
+
 def test_one_of_each_group_stays(spark):
     docs = rows(spark)
-    of = groups([t for _, t in docs])
-    kept = similar.keep_one(spark.createDataFrame(docs, "doc_id long, text string"))
-    assert sorted(r.doc_id for r in kept.collect()) == sorted({min(i for i, g in enumerate(of) if g == h) for h in of})
+    of = fx.similar_groups([t for _, t in docs])
+    assert similar_one(spark, docs) == sorted({min(i for i, g in enumerate(of) if g == h) for h in of})
+
+
+def joined(n, groups, links):
+    up = list(range(n))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i in range(n):
+        for j in range(i):
+            if groups[i] == groups[j]:
+                up[find(i)] = find(j)
+    for i, j in links:
+        up[find(i)] = find(j)
+    return {tuple(j for j in range(n) if find(j) == find(i)) for i in range(n)}
 
 
-def test_clusters_against_all_pairs(spark):
+@pytest.mark.parametrize("known", [False, True])
+def test_new_links_against_all_pairs(spark, known):
     texts = [t for _, t in rows(spark) if t and t.split()]
-    same = lambda of: {tuple(j for j, h in enumerate(of) if h == g) for g in of}
-    assert same(similar.clusters([similar.shingle_set(t) for t in texts])) == same(groups(texts))
+    want = fx.similar_groups(texts)
+    labels = [want[i] if known and i % 3 else i + 1000 for i in range(len(texts))]
+    got = joined(len(texts), labels, similar.new_links([similar.shingle_set(t) for t in texts], labels))
+    assert got == joined(len(texts), want, [])
+
+
+def test_links_between_sets_that_are_far_from_the_least_one(spark, monkeypatch):
+    """A chain of texts, each like the next and unlike the first, in many blocks."""
+    monkeypatch.setattr(similar, "BLOCK", 300)
+    words = [f"c{i}" for i in range(400)]
+    docs = [(i, " ".join(words[4 * i : 4 * i + 100])) for i in range(60)] + [(100 + i, " ".join(words[4 * i : 4 * i + 100])) for i in range(0, 60, 7)]
+    kept = similar_one(spark, docs)
+    of = fx.similar_groups([t for _, t in docs])
+    assert kept == sorted({min(docs[i][0] for i, g in enumerate(of) if g == h) for h in of}) == [0]
 
 
 def test_bands_of_similar_sets_meet():
@@ -68,7 +81,7 @@ def test_bands_of_similar_sets_meet():
 
 @pytest.mark.parametrize("texts", [[], [(None, "no id"), (None, "no id"), (3, "no id")]])
 def test_empty_and_without_ids(spark, texts):
-    kept = similar.keep_one(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    kept = simhash.keep_one(spark.createDataFrame(texts, "doc_id long, text string")).collect()
     assert [r.doc_id for r in kept] == [3][: len(texts)]
 
 
@@ -80,4 +93,4 @@ def test_the_pipeline_leaves_no_similar_texts(spark, tmp_path):
         stage(spark, docs, "").write.parquet(f"{tmp_path}/{name}")
         docs = spark.read.parquet(f"{tmp_path}/{name}")
     texts = [r.text for r in docs.collect()]
-    assert len(set(groups(texts))) == len(texts)
+    assert len(set(fx.similar_groups(texts))) == len(texts)
