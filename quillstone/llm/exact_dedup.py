@@ -1,12 +1,17 @@
 """Exact dedup by composable polynomial fingerprints and chunkwise comparison.
 
-A text's bytes are cut into chunks. Each chunk is hashed by itself, and neighbours combine by
-h(a + b) = h(a) * base^len(b) + h(b), modulo a prime, so chunks of a huge document are hashed
-independently. Four bases make the 124-bit fingerprint. Texts of equal fingerprint and length are then
-compared byte by byte in chunks, as a sorted stream, so a collision can never merge two texts.
+A text's bytes are cut into chunks, a row each, and those after the first are dealt out, so that the chunks of a
+huge document are hashed in parallel. Hashes of neighbours combine by h(a + b) = h(a) * base^len(b) + h(b),
+modulo a prime: each chunk's hash is shifted by the bytes behind it, and a document's is a plain sum.
+Four bases make the 124-bit fingerprint.
 
-A group of copies is cut into salts of ``SALT_ROWS`` documents, each compared with the first text of
-its salt; the first texts of all salts then meet. No task needs a whole group.
+Texts of equal fingerprint and length are then compared with the one of the largest doc_id, the leader, as
+streams of chunks, so a collision can never merge two texts; those that differ from their leader get a
+leader of their own, until none differs. Only suspects' texts are shuffled: a Bloom filter of a fixed ``BITS`` bits
+leaves out the others (where suspects are so many that it fills up, it lets more pass, and the result is the same).
+
+A group of copies is spread over ``SLICES`` tasks where it is counted, and cut into salts of
+``SALT_ROWS`` documents, each with the leader's text, where it is compared. No task needs a whole group.
 
 Defined results: a null text counts as empty. A null doc_id is smaller than any other. Rows equal in
 doc_id and text are copies of each other: all count in group_size, one of them is kept.
@@ -15,18 +20,19 @@ Extra columns are not looked at.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import checkpoint
+from quillstone.llm.common import checkpoint, tabled
 
 CHUNK = 1 << 16
 SALT_ROWS = 96
+SLICES = 64
+BITS = 1 << 26
 #: The prime and the four bases.
 PRIME = (1 << 31) - 1
 BASES = (1103515245, 1220703125, 1664525021, 1812433253)
@@ -65,106 +71,140 @@ def combine(left: tuple[int, ...], right: tuple[int, ...], right_bytes: int) ->
 
 
 def fingerprint(data: bytes) -> tuple[int, int]:
-    """Two 62-bit numbers for a text of any length."""
-    view = memoryview(data)
-    h = hash_chunk(view[:CHUNK])
-    for at in range(CHUNK, len(data), CHUNK):
-        part = view[at : at + CHUNK]
-        h = combine(h, hash_chunk(part), len(part))
-    return h[0] << 31 | h[1], h[2] << 31 | h[3]
+    """Two 62-bit numbers for a text of any length: the sum of its chunks' shifted hashes."""
+    total = [0] * len(BASES)
+    for at in range(0, len(data), CHUNK):
+        part = data[at : at + CHUNK]
+        total = [(x + y) % PRIME for x, y in zip(total, combine(hash_chunk(part), (0,) * len(BASES), len(data) - at - len(part)), strict=True)]
+    return total[0] << 31 | total[1], total[2] << 31 | total[3]
 
 
-def same_bytes(a: bytes, b: bytes) -> bool:
-    """Compare chunk by chunk; stops at the first that differs."""
-    if len(a) != len(b):
-        return False
-    left, right = memoryview(a), memoryview(b)
-    return all(left[i : i + CHUNK] == right[i : i + CHUNK] for i in range(0, len(a), CHUNK))
+ROW = ["no_id", "an_id", "sha"]
+KEY = ["fa", "fb", "n_bytes"]
 
 
-def _fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _hash(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each chunk's hashes, shifted by the bytes behind it."""
     for batch in batches:
-        a, b, n, sha = [], [], [], []
-        for x in batch.column("text"):
-            data = (x.as_py() or "").encode()
-            p, q = fingerprint(data)
-            a.append(p)
-            b.append(q)
-            n.append(len(data))
-            sha.append(hashlib.sha256(data).hexdigest())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64()), pa.array(sha, pa.string())], ["doc_id", "fa", "fb", "n_bytes", "sha"])
+        shifted = [combine(hash_chunk(x.as_buffer()), (0,) * len(BASES), behind) for x, behind in zip(batch.column("chunk"), batch.column("behind").to_pylist(), strict=True)]
+        hashes = np.array(shifted, dtype=np.int64).reshape(-1, len(BASES))
+        names = [*ROW, "n_bytes", "nth"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *(pa.array(hashes[:, i]) for i in range(len(BASES)))], [*names, *(f"h{i}" for i in range(len(BASES)))])
+
+
+def _bytes(docs: DataFrame) -> DataFrame:
+    """no_id, an_id, sha, which tell rows of different id or text apart; n_bytes and the bytes."""
+    data = F.coalesce("text", F.lit("")).cast("binary")
+    an_id = F.coalesce("doc_id", F.lit(0).cast(docs.schema["doc_id"].dataType))
+    return docs.select(F.col("doc_id").isNull().alias("no_id"), an_id.alias("an_id"), F.unhex(F.sha2(data, 256)).alias("sha"), F.octet_length(data).cast("long").alias("n_bytes"), data.alias("data"))
+
+
+def _chunks(first: int) -> Column:
+    """An array of (nth, behind, chunk) from chunk ``first`` on; a text without bytes has one empty chunk."""
+    last = F.greatest(F.expr(f"(n_bytes - 1) div {CHUNK}"), F.lit(0)).cast("int")
+    numbers = F.sequence(F.lit(first), last) if not first else F.when(last >= first, F.sequence(F.lit(first), F.greatest(last, F.lit(first)))).otherwise(F.expr("cast(array() as array<int>)"))
+    return F.transform(numbers, lambda i: F.named_struct(F.lit("nth"), i, F.lit("behind"), F.greatest(F.col("n_bytes") - (i + 1) * CHUNK, F.lit(0)).cast("long"), F.lit("chunk"), F.substring("data", i * CHUNK + 1, F.lit(CHUNK))))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fa, fb, n_bytes, sha) of every row."""
+    """(no_id, an_id, sha, fa, fb, n_bytes, copies): a row for each distinct doc_id and text."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(_fingerprints, f"doc_id {id_type}, fa long, fb long, n_bytes long, sha string")
+    rows = _bytes(docs)
+    flat = [*ROW, "n_bytes", "c.nth", "c.behind", "c.chunk"]
+    heads = rows.select(*ROW, "n_bytes", F.lit(0).alias("nth"), F.greatest(F.col("n_bytes") - CHUNK, F.lit(0)).alias("behind"), F.substring("data", F.lit(1), F.lit(CHUNK)).alias("chunk"))
+    rest = rows.where(F.col("n_bytes") > CHUNK).select(*ROW, "n_bytes", F.explode(_chunks(1)).alias("c")).select(*flat).repartition("sha", "nth")
+    schema = f"no_id boolean, an_id {id_type}, sha binary, n_bytes long, nth int, " + ", ".join(f"h{i} long" for i in range(len(BASES)))
+    hashed = heads.unionByName(rest).mapInArrow(_hash, schema)
+    once = hashed.groupBy(*ROW, "n_bytes", "nth").agg(*(F.max(f"h{i}").alias(f"h{i}") for i in range(len(BASES))), F.count(F.lit(1)).alias("copies"))
+    whole = once.groupBy(*ROW, "n_bytes").agg(*((F.sum(f"h{i}") % PRIME).alias(f"h{i}") for i in range(len(BASES))), F.max("copies").alias("copies"))
+    pair = lambda a, b: F.shiftleft(F.col(a), 31).bitwiseOR(F.col(b))
+    return whole.select(*ROW, pair("h0", "h1").alias("fa"), pair("h2", "h3").alias("fb"), "n_bytes", "copies")
+
+
+def grouped(marks: DataFrame, by: list[str]) -> DataFrame:
+    """The columns of marks, and of its group: leader (has_id, an_id, sha), members and group_size.
+
+    Counted within slices first; what is dealt out is read twice from one exchange.
+    """
+    slice_of = F.coalesce(F.pmod(F.xxhash64("an_id", "sha"), F.lit(SLICES)).cast("int"), F.lit(0))
+    cell = [*by, "slice"]
+    dealt = marks.withColumn("slice", slice_of).repartition(*cell)
+    here = F.struct((~F.col("no_id")).alias("has_id"), "an_id", "sha")
+    heads = dealt.groupBy(*cell).agg(F.max(here).alias("leader"), F.count(F.lit(1)).alias("members"), F.sum("copies").alias("group_size"))
+    over = Window.partitionBy(*by)
+    whole = heads.select(*cell, F.max("leader").over(over).alias("leader"), F.sum("members").over(over).alias("members"), F.sum("group_size").over(over).alias("group_size"))
+    return dealt.join(whole, cell).drop("slice")
 
 
-KEY = ["fa", "fb", "n_bytes"]
+def _bit(*of: str) -> Column:
+    return F.pmod(F.xxhash64(*of), F.lit(BITS)).cast("long")
 
 
-def _classes(columns: list[str]):
-    """A streaming comparison over rows sorted by ``columns``; rows carry ``text``.
+def _perhaps(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Those of rows whose ROW may be in wanted, by a Bloom filter of ``BITS`` bits, which is all that is broadcast."""
+    bits = wanted.select(_bit(*ROW).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+    bit = _bit(*ROW)
+    held = rows.withColumn("__bit", bit).join(F.broadcast(bits), F.bitmap_bucket_number("__bit") == F.col("part"))
+    place = F.bitmap_bit_position("__bit").cast("int")
+    byte = F.conv(F.hex(F.substring("bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return held.where(F.getbit(byte, place % 8) == 1).drop("__bit", "part", "bits")
 
-    Within a run of equal columns each text is compared with the first of each class seen so far: one,
-    unless fingerprints collide. Yields the other columns, the class and, for the first of a class, its text.
-    """
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, firsts = None, []
-        for batch in batches:
-            keys = list(zip(*(batch.column(c).to_pylist() for c in columns), strict=True))
-            classes, heads = [], []
-            for k, x in zip(keys, batch.column("text"), strict=True):
-                data = (x.as_py() or "").encode()
-                if k != key:
-                    key, firsts = k, []
-                at = next((i for i, y in enumerate(firsts) if same_bytes(data, y)), len(firsts))
-                heads.append(data.decode() if at == len(firsts) else None)
-                if at == len(firsts):
-                    firsts.append(data)
-                classes.append(at)
-            names = [c for c in batch.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(classes, pa.int32()), pa.array(heads, pa.string())], [*names, "class", "head"])
-
-    return run
+def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Streams of chunks sorted by salt, chunk and role, the leader's first; yields the rows that differ from it."""
+    at, leader = None, b""
+    for batch in batches:
+        rows = []
+        keys = zip(*(batch.column(c).to_pylist() for c in [*KEY, "class", "salt", "nth", "role"]), batch.column("chunk"), strict=True)
+        for i, (*place, role, chunk) in enumerate(keys):
+            data = memoryview(chunk.as_buffer())
+            if role == 0:
+                at, leader = place, bytes(data)
+            elif at != place or data != leader:
+                rows.append(i)
+        yield batch.take(pa.array(rows, pa.int64())).select(ROW)
+
+
+def differing(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """no_id, an_id, sha of the rows of marks (with class) whose text isn't their leader's."""
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    by = [*KEY, "class"]
+    suspects = tabled(grouped(marks, by).where("members > 1").select(*ROW, *KEY, "class", "leader", F.expr(f"cast((members + {SALT_ROWS - 1}) div {SALT_ROWS} as int)").alias("salts")))
+    texts = _perhaps(_bytes(docs).drop("n_bytes"), suspects)
+    found = texts.join(suspects, ROW)
+    leads = F.struct((~F.col("no_id")).alias("has_id"), "an_id", "sha") == F.col("leader")
+    salt = F.pmod(F.xxhash64(*ROW), F.col("salts")).cast("int")
+    dealt = F.when(leads, F.transform(F.expr("sequence(0, salts - 1)"), lambda x: F.named_struct(F.lit("salt"), x, F.lit("role"), F.lit(0)))).otherwise(F.array(F.named_struct(F.lit("salt"), salt, F.lit("role"), F.lit(1))))
+    rows = found.select(*ROW, *by, F.explode(dealt).alias("d"), _chunks(0).alias("chunks")).select(*ROW, *by, "d.*", F.explode("chunks").alias("c")).select(*ROW, *by, "salt", "role", "c.nth", "c.chunk")
+    stream = rows.repartition(*by, "salt").sortWithinPartitions(*by, "salt", "nth", "role")
+    return stream.mapInArrow(_compare, f"no_id boolean, an_id {id_type}, sha binary").distinct()
 
 
 def exact_classes(docs: DataFrame) -> DataFrame:
-    """(doc_id, fa, fb, n_bytes, sha, class, copies): a row for each distinct doc_id and text.
+    """(no_id, an_id, sha, fa, fb, n_bytes, copies, class): a row for each distinct doc_id and text.
 
     Texts are equal exactly where fa, fb, n_bytes and class are. copies: how often the row occurs.
     """
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    marks = checkpoint(fingerprints(docs).groupBy("doc_id", *KEY, "sha").agg(F.count(F.lit(1)).alias("copies")))
-    groups = marks.groupBy(*KEY).agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    suspects = marks.join(groups, KEY).select(F.col("doc_id").alias("s_doc"), F.col("sha").alias("s_sha"), *KEY, "members")
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("sha", F.sha2(F.col("text").cast("binary"), 256))
-    salted = (
-        texts.join(suspects, F.col("doc_id").eqNullSafe(F.col("s_doc")) & (F.col("sha") == F.col("s_sha")))
-        .withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.expr(f"(members + {SALT_ROWS - 1}) div {SALT_ROWS}")))
-        .select("doc_id", "sha", *KEY, "salt", "text")
-    )
-    in_salt = [*KEY, "salt"]
-    compared = checkpoint(
-        salted.repartition(*in_salt).sortWithinPartitions(*in_salt, F.desc("doc_id")).mapInArrow(_classes(in_salt), f"doc_id {id_type}, sha string, fa long, fb long, n_bytes long, salt long, class int, head string")
-    )
-    heads = compared.where("head is not null").select(*KEY, "salt", F.col("class").alias("salt_class"), F.col("head").alias("text"))
-    met = heads.repartition(*KEY).sortWithinPartitions(*KEY, "salt", "salt_class").mapInArrow(_classes(KEY), "fa long, fb long, n_bytes long, salt long, salt_class int, class int, head string").drop("head")
-    members = (
-        compared.select("doc_id", "sha", *KEY, "salt", F.col("class").alias("salt_class"))
-        .join(met, [*KEY, "salt", "salt_class"])
-        .select(F.col("doc_id").alias("m_doc"), F.col("sha").alias("m_sha"), "class")
-        .distinct()
-    )
-    return marks.join(members, F.col("doc_id").eqNullSafe(F.col("m_doc")) & (F.col("sha") == F.col("m_sha")), "left").select("doc_id", *KEY, "sha", F.coalesce("class", F.lit(0)).alias("class"), "copies")
+    marks = checkpoint(fingerprints(docs)).withColumn("class", F.lit(0))
+    todo, of_class = marks, 0
+    while True:
+        others = checkpoint(differing(docs, todo))
+        if others.isEmpty():
+            return marks
+        of_class += 1
+        marks = checkpoint(marks.join(others.withColumn("other", F.lit(True)), ROW, "left").withColumn("class", F.when(F.col("other"), F.lit(of_class)).otherwise(F.col("class"))).drop("other"))
+        todo = marks.where(F.col("class") == of_class)
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256) of every row; the largest doc_id stays."""
-    classes = exact_classes(docs)
-    groups = classes.groupBy(*KEY, "class").agg(F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
-    return classes.join(groups, [*KEY, "class"]).select("doc_id", "keep_id", "group_size", F.explode(F.expr("sequence(1L, copies)")).alias("nth"), F.col("sha").alias("text_sha256")).select(
-        "doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)).alias("kept"), "text_sha256"
+    found = grouped(exact_classes(docs), [*KEY, "class"])
+    leads = F.struct((~F.col("no_id")).alias("has_id"), "an_id", "sha") == F.col("leader")
+    rows = found.withColumn("leads", leads).select("*", F.explode(F.expr("sequence(1L, copies)")).alias("nth"))
+    return rows.select(
+        F.when(~F.col("no_id"), F.col("an_id")).alias("doc_id"),
+        F.when(F.col("leader.has_id"), F.col("leader.an_id")).alias("keep_id"),
+        "group_size",
+        (F.col("leads") & (F.col("nth") == 1)).alias("kept"),
+        F.lower(F.hex("sha")).alias("text_sha256"),
     )

@@ -78,13 +78,29 @@ def test_exact_when_fingerprints_collide(spark, monkeypatch):
     """Texts of equal fingerprint that differ stay apart, within and across salts."""
     rows = [(i, ("abc", "xyz", "abz")[i % 3]) for i in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    same = docs.withColumn("fa", F.lit(1).cast("long")).withColumn("fb", F.lit(2).cast("long")).withColumn("n_bytes", F.lit(3).cast("long")).withColumn("sha", F.sha2(F.col("text").cast("binary"), 256)).drop("text")
-    monkeypatch.setattr(exact_dedup, "fingerprints", lambda _: same)
+    real = exact_dedup.fingerprints
+    monkeypatch.setattr(exact_dedup, "fingerprints", lambda d: real(d).withColumn("fa", F.lit(1).cast("long")).withColumn("fb", F.lit(2).cast("long")))
     monkeypatch.setattr(exact_dedup, "SALT_ROWS", 4)
     got = {r.doc_id: r.keep_id for r in exact_dedup.exact_dedup(docs).collect()}
     assert got == {i: 37 + (i - 37) % 3 for i in range(40)}
 
 
+def test_exact_over_many_chunks(spark):
+    """Documents of several chunks that differ in the last byte, and copies of them."""
+    text = "".join(f"{i:x}" for i in range(60000))
+    rows = [(1, text), (2, text), (3, text + "a"), (4, text + "b"), (5, text + "a"), (6, text[: exact_dedup.CHUNK]), (7, text[: exact_dedup.CHUNK])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    prints = {r.an_id: (r.fa, r.fb) for r in exact_dedup.fingerprints(docs).collect()}
+    assert prints == {i: exact_dedup.fingerprint(t.encode()) for i, t in rows}
+    assert {r.doc_id: r.keep_id for r in exact_dedup.exact_dedup(docs).collect()} == {1: 2, 2: 2, 3: 5, 4: 4, 5: 5, 6: 7, 7: 7}
+
+
+def test_exact_with_a_large_group(spark):
+    docs = spark.range(100_000).select(F.col("id").alias("doc_id"), F.lit("one and the same").alias("text"))
+    got = exact_dedup.exact_dedup(docs).agg(F.min("keep_id"), F.max("keep_id"), F.min("group_size"), F.count_if("kept"), F.count(F.lit(1))).first()
+    assert tuple(got) == (99_999, 99_999, 100_000, 1, 100_000)
+
+
 def test_fingerprints(spark, odd):
     got = Counter((r.doc_id, r.fp & (1 << 64) - 1) for r in simhash.fingerprints(odd).collect())
     assert got == Counter((r[0], fx.simhash(r[1])) for r in fx.odd_documents())
