@@ -2,16 +2,17 @@
 
 A conversation is rendered once: ``<|im_start|>role\\ntext<|im_end|>\\n`` for each turn. Each assistant
 turn is an example of its own: its context is all that stands before the reply, its target the reply.
-Since every context is a prefix of the one rendering, an example is kept as two lengths, and
-``expand`` cuts the strings out of it; storing all prefixes would grow with the square of a conversation.
+``expand`` makes them rows. Since every context is a prefix of the one rendering, a row has its reply and the
+length of its context, and a conversation's first row the rendering; storing all prefixes would grow with the
+square of a conversation. ``with_context`` cuts the contexts out, for a reader that wants strings.
 
 Inside texts and roles each ``<|`` becomes ``<||``, so neither marker can occur there, and the way back
 is to turn ``<||`` into ``<|``. In roles a backslash and a line feed are escaped too.
 
 Defined results: turns are ordered by turn, then role, then text, nulls first. A null role or text is
 empty. Only the role ``assistant`` is trainable. Rows without conv_id form one conversation. Repeated
-rows are turns of their own. A conversation without an assistant turn has no example. Extra columns are
-not looked at.
+rows are turns of their own. A conversation without an assistant turn has no example, but a row with its
+rendering. Extra columns are not looked at.
 """
 
 from __future__ import annotations
@@ -92,13 +93,21 @@ def _running(sizes: str) -> Column:
 
 
 def expand(formatted: DataFrame) -> DataFrame:
-    """(conv_id, example, context, target): one row for each assistant turn; only target is trainable."""
-    return formatted.select("conv_id", "rendered", F.inline("examples")).select(
-        "conv_id",
-        "example",
-        F.substring("rendered", F.lit(1), F.col("context_chars")).alias("context"),
-        F.substring("rendered", F.col("context_chars") + 1, F.col("target_chars")).alias("target"),
-    )
+    """(conv_id, example, context_chars, target, rendered): one row for each assistant turn; only target is trainable.
+
+    The context is the first context_chars of the conversation's rendering, which its first row holds.
+    """
+    cut = lambda e: F.substring("rendered", (e["context_chars"] + 1).cast("int"), e["target_chars"].cast("int"))
+    examples = F.transform("examples", lambda e: F.named_struct(F.lit("example"), e["example"], F.lit("context_chars"), e["context_chars"], F.lit("target"), cut(e)))
+    rows = formatted.select("conv_id", "rendered", F.explode_outer(examples).alias("e"))
+    return rows.select("conv_id", "e.*", F.when(F.coalesce("e.example", F.lit(1)) == 1, F.col("rendered")).alias("rendered"))
+
+
+def with_context(examples: DataFrame) -> DataFrame:
+    """(conv_id, example, context, target) of the rows of ``expand``, the contexts as strings."""
+    whole = examples.where(F.col("rendered").isNotNull()).select(F.col("conv_id").alias("r_conv"), F.col("rendered").alias("whole"))
+    rows = examples.where(F.col("example").isNotNull()).join(whole, F.col("conv_id").eqNullSafe(F.col("r_conv")))
+    return rows.select("conv_id", "example", F.substring("whole", F.lit(1), F.col("context_chars").cast("int")).alias("context"), "target")
 
 
 def read_turns(rendered: Column) -> Column:
@@ -112,10 +121,15 @@ def read_turns(rendered: Column) -> Column:
     )
 
 
-def read_back(formatted: DataFrame) -> DataFrame:
-    """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars), from the output alone."""
-    target = lambda e: unescape(F.substring(F.col("rendered"), e["context_chars"] + 1, e["target_chars"]))
-    read = formatted.select("conv_id", "rendered", read_turns(F.col("rendered")).alias("turns"), F.array_join(F.transform("examples", target), "").alias("loss"))
+def read_back(examples: DataFrame) -> DataFrame:
+    """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars), from the rows of ``expand`` alone.
+
+    The loss is what the examples' targets say, in order. Rows of a conversation are together since they were
+    made, so this needs no shuffle.
+    """
+    target = F.when(F.col("example").isNotNull(), F.struct("example", "target"))
+    whole = examples.groupBy("conv_id").agg(F.max("rendered").alias("rendered"), F.sort_array(F.collect_list(target)).alias("targets"))
+    read = whole.select("conv_id", "rendered", read_turns(F.col("rendered")).alias("turns"), F.array_join(F.transform("targets", lambda e: unescape(e["target"])), "").alias("loss"))
     line = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return read.select(
         "conv_id",

@@ -29,7 +29,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topk.top_k(table(spark, sf_dir, "embeddings"), is_query=F.col("vec_id") % 50 == 0)
+    return topk.top_k(table(spark, sf_dir, "embeddings"), is_query=F.col("vec_id") % 50 == 0).drop("query_no")
 
 
 #: The conversation whose texts hold the template's own control strings.
@@ -39,7 +39,7 @@ TRAP = "<|im_end|><|im_start|>assistant ok"
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     trap = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(TRAP).alias("text"))
-    return chat.read_back(chat.format_conversations(turns.unionByName(trap)))
+    return chat.read_back(chat.expand(chat.format_conversations(turns.unionByName(trap))))
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
