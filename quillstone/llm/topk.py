@@ -10,8 +10,10 @@ one block of each at a time. Nothing is broadcast.
 
 Defined results: vectors that are null, or hold a null or a component that is not finite, take no part;
 nor do rows without an id. Vectors may differ in length; missing components are zero. A candidate
-with the query's own id is the query's own row. Repeated query rows answer once. Scores must fit a
-long, else the run ends with an error rather than a wrong score. Extra columns are not looked at.
+with the query's own id is the query's own row. Query rows equal in id and weights answer once; different
+ones of one id have a ranking each, told apart by query_no, in the order of their weights. Repeated
+candidate rows are candidates of their own. Scores must fit a long, else the run ends with an error rather than a
+wrong score. Extra columns are not looked at.
 """
 
 from __future__ import annotations
@@ -53,14 +55,15 @@ def _pack(rows: int):
                 m = np.zeros((len(ids), dims), dtype=np.int64)
                 m[np.repeat(np.arange(len(ids)), lengths), np.concatenate([np.arange(n) for n in lengths])] = flat
                 order = np.argsort(ids, kind="stable")
-                yield pa.RecordBatch.from_arrays([pa.array([ids[order].tobytes()], pa.binary()), pa.array([m[order].tobytes()], pa.binary()), pa.array([int(ids[0])], pa.int64())], ["ids", "m", "seed"])
+                nos = part.column("no").to_numpy(zero_copy_only=False).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([x[order].tobytes()], pa.binary()) for x in (ids, nos, m)] + [pa.array([int(ids[0])], pa.int64())], ["ids", "nos", "m", "seed"])
 
     return run
 
 
 def packed(vectors: DataFrame, rows: int) -> DataFrame:
-    """(ids, m, seed): blocks of at most so many rows (id, w), sorted by id."""
-    return vectors.mapInArrow(_pack(rows), "ids binary, m binary, seed long")
+    """(ids, nos, m, seed): blocks of at most so many rows (id, no, w), sorted by id."""
+    return vectors.mapInArrow(_pack(rows), "ids binary, nos binary, m binary, seed long")
 
 
 def accumulate(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
@@ -88,25 +91,17 @@ def accumulate(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
 
 
 def select_best(scores: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(query row, column) of each query's k best, ties to the smaller id; ids ascend."""
-    n = len(ids)
-    if scores.dtype == np.int32:
-        key = scores.astype(np.int64) * n + (n - 1 - np.arange(n))
-        key[query_ids[:, None] == ids[None, :]] = np.iinfo(np.int64).min
-        k = min(k, n)
-        best = np.argpartition(key, n - k, axis=1)[:, n - k :]
-        rows = np.repeat(np.arange(len(query_ids)), k)
-        cols = best.ravel()
-    else:
-        rows, cols = [], []
-        for r in range(len(query_ids)):
-            order = np.lexsort((np.arange(n), -scores[r]))
-            best = order[ids[order] != query_ids[r]][:k]
-            rows.append(np.full(len(best), r))
-            cols.append(best)
-        rows, cols = np.concatenate(rows), np.concatenate(cols)
-    mine = query_ids[rows] == ids[cols]
-    return rows[~mine], cols[~mine]
+    """(query row, column) of each query's k best, ties to the smaller id; ids ascend.
+
+    Partition selection finds the k-th score; what exceeds it is in, and of what equals it the first columns.
+    """
+    own = query_ids[:, None] == ids[None, :]
+    scores = np.where(own, np.iinfo(scores.dtype).min, scores)
+    k = min(k, len(ids))
+    least = np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k, None]
+    over, even = scores > least, scores == least
+    room = k - over.sum(axis=1, keepdims=True)
+    return np.nonzero((over | (even & (np.cumsum(even, axis=1) <= room))) & ~own)
 
 
 def _search(k: int):
@@ -116,27 +111,29 @@ def _search(k: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for q_ids, q_m, c_ids, c_m in zip(*(batch.column(c).to_pylist() for c in ("q_ids", "q_m", "ids", "m")), strict=True):
+            for q_ids, q_nos, q_m, c_ids, c_m in zip(*(batch.column(c).to_pylist() for c in ("q_ids", "q_nos", "q_m", "ids", "m")), strict=True):
                 qi, q = matrix(q_ids, q_m)
                 ci, c = matrix(c_ids, c_m)
                 scores = accumulate(q, c)
                 rows, cols = select_best(scores, qi, ci, k)
-                yield pa.RecordBatch.from_arrays([pa.array(qi[rows]), pa.array(ci[cols]), pa.array(scores[rows, cols].astype(np.int64))], ["query_id", "vec_id", "score"])
+                numbers = np.frombuffer(q_nos, dtype=np.int64)[rows]
+                yield pa.RecordBatch.from_arrays([pa.array(qi[rows]), pa.array(numbers), pa.array(ci[cols]), pa.array(scores[rows, cols].astype(np.int64))], ["query_id", "query_no", "vec_id", "score"])
 
     return run
 
 
 def top_k(vectors: DataFrame, *, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5, scale: int = SCALE, lanes: int | None = None) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k highest inner products of each query row."""
+    """(query_id, rank, vec_id, score, query_no): the k highest inner products of each query row."""
     spark = vectors.sparkSession
     lanes = lanes or int(spark.conf.get("spark.sql.shuffle.partitions"))
     clean = vectors.where(F.col(id_col).isNotNull() & usable(F.col(vector_col)))
-    rows = clean.select(F.col(id_col).cast("long").alias("id"), weights(F.col(vector_col), scale).alias("w"))
-    asked = clean.where(is_query).select(F.col(id_col).cast("long").alias("id"), weights(F.col(vector_col), scale).alias("w"))
+    rows = clean.select(F.col(id_col).cast("long").alias("id"), F.lit(0).alias("no"), weights(F.col(vector_col), scale).alias("w"))
+    asked = clean.where(is_query).select(F.col(id_col).cast("long").alias("id"), weights(F.col(vector_col), scale).alias("w")).distinct()
+    asked = asked.select("id", (F.row_number().over(Window.partitionBy("id").orderBy("w")) - 1).alias("no"), "w")
     lane = F.pmod(F.xxhash64("seed"), F.lit(lanes)).cast("int")
     blocks = packed(rows, CANDIDATES).select("ids", "m", lane.alias("lane"))
-    queries = packed(asked.distinct(), QUERIES).select(F.col("ids").alias("q_ids"), F.col("m").alias("q_m"), F.explode(F.expr(f"sequence(0, {lanes - 1})")).alias("lane"))
-    pairs = blocks.hint("merge").join(queries, "lane").select("q_ids", "q_m", "ids", "m")
-    found = pairs.mapInArrow(_search(k), "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    queries = packed(asked, QUERIES).select(F.col("ids").alias("q_ids"), F.col("nos").alias("q_nos"), F.col("m").alias("q_m"), F.explode(F.expr(f"sequence(0, {lanes - 1})")).alias("lane"))
+    pairs = blocks.hint("merge").join(queries, "lane").select("q_ids", "q_nos", "q_m", "ids", "m")
+    found = pairs.mapInArrow(_search(k), "query_id long, query_no long, vec_id long, score long")
+    best = Window.partitionBy("query_id", "query_no").orderBy(F.desc("score"), F.asc("vec_id"))
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score", "query_no")
