@@ -1,14 +1,14 @@
 """Line dedup: hash ranges, secondary sort, first occurrences, keep bitmaps. DataFrame functions only.
 
-Every line gets a 128-bit key hash. Lines are dealt out by (hash, slice), where the slice comes from
-the document, so that a line which a third of all documents hold is spread over ``SLICES`` tasks.
-Within a slice, rows are sorted by document and position and the first occurrence in each document
-streams on; slices then meet as at most ``SLICES`` counts a key. The verdicts go back to the slices
-they came from and become one bitmap a document; no text takes part in any of this.
-
-Defined results: a null or empty text is one empty line. A null doc_id is smaller than any other.
-Each row is a document of its own; rows that tie for the largest doc_id all keep their lines. Rows
-equal in doc_id and text get equal bitmaps. Extra columns are not looked at.
+Every line gets a 128-bit key hash. Lines are dealt out by ranges of (hash, slice), where the slice comes from
+the row, so that ranges can part a line which a third of all documents hold. Within a slice, rows are sorted by
+document and position and the first occurrence in each document streams on; documents are then counted
+by key, pre-aggregated. The verdicts are joined with the hashes of the lines and become one bitmap a row;
+no text takes part in any of this.
+
+Defined results: a null or empty text is one empty line. Documents are told apart by doc_id: rows that share
+it are one document, each with a row in the result, and keep or lose a line together; rows without one are one
+document, smaller than any other. Extra columns are not looked at.
 """
 
 from __future__ import annotations
@@ -34,8 +34,7 @@ def line_keys(lines: Column) -> Column:
 def keyed_lines(docs: DataFrame, min_chars: int) -> DataFrame:
     """(doc_id, row_hash, pos, h1, h2, slice) of the lines that can be dropped.
 
-    An outer explode works the keys out once, a plain one would once more to see whether there are any;
-    a slice that can't be null leaves both readers of the lines with one and the same exchange.
+    An outer explode works the keys out once, a plain one would once more to see whether there are any.
     """
     row_hash = F.xxhash64("doc_id", "text")
     return (
@@ -58,20 +57,14 @@ def keep_bitmaps(docs: DataFrame, *, min_chars: int = 20, min_docs: int = 3) ->
     ``words`` is the compressed keep bitmap: pairs (word, bits) of 64 lines each, a bit set for a
     line that stays; a word without a dropped line is left out and stands for all ones.
     """
-    dealt = keyed_lines(docs.select("doc_id", "text"), min_chars).repartition("h1", "h2", "slice")
+    dealt = keyed_lines(docs.select("doc_id", "text"), min_chars).repartitionByRange("h1", "h2", "slice")
     key = ["h1", "h2"]
-    order = [F.desc_nulls_last("doc_id"), F.col("row_hash"), F.col("pos")]
-    w = Window.partitionBy(*key, "slice").orderBy(*order)
-    here = F.struct("doc_id", "row_hash")
+    w = Window.partitionBy(*key, "slice").orderBy(F.desc_nulls_last("doc_id"), F.col("row_hash"), F.col("pos"))
+    here = F.struct("doc_id")
     firsts = dealt.withColumn("before", F.lag(here).over(w)).where(~F.col("before").eqNullSafe(here))
-    heads = firsts.groupBy(*key, "slice").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keep_id"))
-    over = Window.partitionBy(*key)
-    verdicts = (
-        heads.select(*key, "slice", F.sum("n").over(over).alias("n"), F.max("keep_id").over(over).alias("keep_id"))
-        .where(F.col("n") >= min_docs)
-        .select(*key, "slice", "keep_id")
-    )
-    dropped = dealt.join(verdicts, [*key, "slice"]).where(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    holders = firsts.groupBy(*key, "doc_id").agg(F.lit(1).alias("one"))
+    verdicts = holders.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keep_id")).where(F.col("n") >= min_docs).select(*key, "keep_id")
+    dropped = dealt.join(verdicts, key).where(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
     bit = F.expr("shiftleft(1L, pos % 64)")
     return (
         dropped.groupBy("doc_id", "row_hash", F.expr("pos div 64").cast("int").alias("word"))

@@ -67,20 +67,20 @@ def components(prints: list[int], limit: int = 2) -> dict[int, int]:
 
 
 def dedup_lines(rows: list[tuple], min_chars: int = 20, min_docs: int = 3) -> list[tuple]:
-    """(doc_id, lines, dropped, kept text) of each row."""
+    """(doc_id, lines, dropped, kept text) of each row; rows with one doc_id are one document."""
     white = " \t\n\x0b\x0c\r"
     split = [(r[0], (r[1] or "").split("\n")) for r in rows]
     key = lambda x: ascii_lower(x.strip(white))
-    holders = defaultdict(list)
+    holders = defaultdict(set)
     for i, (doc, lines) in enumerate(split):
         for k in {key(x) for x in lines}:
             if len(k) >= min_chars:
-                holders[k].append(doc)
+                holders[k].add(doc)
     out = []
     for doc, lines in split:
         keep = []
         for x in lines:
-            h = holders.get(key(x), [])
+            h = holders.get(key(x), set())
             most = max((d for d in h if d is not None), default=None)
             if len(h) < min_docs or doc == most:
                 keep.append(x)

@@ -34,6 +34,14 @@ def test_lines_of_many_words_of_a_bitmap(spark):
     assert Counter(got) == Counter(fx.dedup_lines(rows))
 
 
+@pytest.mark.parametrize("rows", [[(1, 0), (1, 0), (2, 0)], [(1, 0), (1, 1), (2, 0)], [(1, 0), (1, 1), (2, 0), (3, 0)], [(None, 0), (None, 1), (2, 0), (3, 1)], [(3, 0), (3, 1), (2, 0), (1, 0)]])
+def test_rows_of_one_doc_id_are_one_document(spark, rows):
+    line = "This line is in all of the rows of this table."
+    table = [(d, line + "\nx" * more) for d, more in rows]
+    got = [(r.doc_id, r.n_lines, r.n_dropped, r.kept) for r in line_dedup.dedup_lines(spark.createDataFrame(table, "doc_id long, text string")).select("row.doc_id", "n_lines", "n_dropped", "kept").collect()]
+    assert Counter(got) == Counter(fx.dedup_lines(table))
+
+
 def test_bitmaps_are_compressed(spark):
     line = "This line is found in all of them, it is."
     rows = [(i, "\n".join([line] + [f"{i} {j}" for j in range(1000)]), None, None, None, None, None, None, None, None) for i in range(3)]

@@ -242,10 +242,31 @@ def test_top_k(spark):
             want |= {(i, r + 1, j, -s) for r, (s, j) in enumerate(scores)}
     got = {(r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df, is_query=F.col("vec_id") % 50 == 0, lanes=3).collect()}
     assert got == want
+    clashing = df.withColumns({c: F.lit("x") for c in ("id", "w", "lane", "score", "ids", "query_id")})
+    assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(clashing, is_query=F.col("vec_id") % 50 == 0, lanes=2).collect()} == want
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(empty, is_query=F.lit(True)).collect() == []
 
 
+def test_several_vectors_of_one_query_id(spark):
+    """Each different vector has a ranking of its own; equal ones answer once; repeated candidates are rows of their own."""
+    df = spark.createDataFrame([(50, [1.0, 0.0]), (50, [0.0, 1.0]), (50, [0.0, 1.0]), (7, [0.5, 0.25]), (7, [0.5, 0.25]), (8, [0.0, 1.0])], "vec_id long, embedding array<float>")
+    got = sorted(map(tuple, topk.top_k(df, is_query=F.col("vec_id") == 50, k=3).collect()), key=lambda r: (r[4], r[1]))
+    half = 256 * 128
+    assert got == [(50, 1, 8, 65536, 0), (50, 2, 7, half // 2, 0), (50, 3, 7, half // 2, 0), (50, 1, 7, half, 1), (50, 2, 7, half, 1), (50, 3, 8, 0, 1)]
+
+
+@pytest.mark.parametrize("kind", [np.int32, np.int64])
+@pytest.mark.parametrize("k", [1, 3, 8, 40])
+def test_partition_selection(kind, k):
+    rng = np.random.default_rng(2)
+    scores, ids, mine = rng.integers(-3, 4, (30, 25)).astype(kind), np.sort(rng.integers(0, 30, 25)), rng.integers(0, 30, 30)
+    rows, cols = topk.select_best(scores, mine, ids, k)
+    for r in range(30):
+        want = sorted((c for c in range(25) if ids[c] != mine[r]), key=lambda c: (-scores[r, c], ids[c], c))[:k]
+        assert sorted(cols[rows == r].tolist()) == sorted(want)
+
+
 def test_scores_of_large_weights():
     q, c = np.array([[1 << 20, -3]]), np.array([[1 << 20, 5], [7, 1 << 30]])
     assert topk.accumulate(q, c).tolist() == [[(1 << 40) - 15, 7 * (1 << 20) - 3 * (1 << 30)]]
@@ -264,7 +285,7 @@ def test_chat_round_trip(spark):
     for c in range(40):
         for t in range(c % 7):
             rows.append((c, t, ("system", "user", "assistant", None, "to\nol", "a\\n<|b")[(c + t) % 6], traps[(c * 3 + t) % len(traps)], "extra"))
-    rows += [(77, i, ("user", "assistant")[i % 2], f"turn {i} <|im_end|>") for i in range(400)] + [(None, 0, "assistant", "lost"), (78, 1, "user", "tie"), (78, 1, "assistant", "tie"), (78, 1, "assistant", "tie"), (78, None, "user", "first")]
+    rows += [(77, i, ("user", "assistant")[i % 2], f"turn {i} <|im_end|>") for i in range(400)] + [(None, 0, "assistant", "lost"), (78, 1, "user", "tie"), (78, 1, "assistant", "tie"), (78, 1, "assistant", "tie"), (78, None, "user", "first"), (79, 0, "user", "q"), (79, 1, "assistant", "long <| text " * 20000)]
     rows = [(*r[:4], "extra") for r in rows]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, rendered string")
     order = lambda x: (x is not None, x if x is not None else 0)
@@ -275,16 +296,21 @@ def test_chat_round_trip(spark):
         loss = "".join(x for _, r, x in turns if r == "assistant")
         want[c] = (len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest())
     formatted = chat.format_conversations(df)
-    got = {r.conv_id: tuple(r)[1:5] for r in chat.read_back(formatted).collect()}
+    examples = chat.expand(formatted)
+    got = {r.conv_id: tuple(r)[1:5] for r in chat.read_back(examples).collect()}
     assert got == want
-    examples = chat.expand(formatted).collect()
-    assert Counter(e.conv_id for e in examples) == Counter(r[0] for r in rows if r[2] == "assistant")
-    one = sorted((e for e in examples if e.conv_id == 77), key=lambda e: e.example)
+    rows_of = examples.collect()
+    replies = Counter(r[0] for r in rows if r[2] == "assistant")
+    assert Counter(e.conv_id for e in rows_of if e.example is not None) == replies
+    assert Counter(e.conv_id for e in rows_of if e.rendered is not None) == Counter(want.keys())
+    strings = chat.with_context(examples).collect()
+    assert Counter(e.conv_id for e in strings) == replies
+    one = sorted((e for e in strings if e.conv_id == 77), key=lambda e: e.example)
     for a, b in zip(one, one[1:], strict=False):
         assert b.context.startswith(a.context + a.target) and a.context.endswith("<|im_start|>assistant\n")
-    plan = chat.read_back(formatted)._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan
-    assert chat.read_back(chat.format_conversations(df.limit(0))).collect() == []
+    plan = chat.read_back(examples)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and plan.count("Exchange") == 1 and "Generate" in plan
+    assert chat.read_back(chat.expand(chat.format_conversations(df.limit(0)))).collect() == []
 
 
 # Language.
