@@ -1,14 +1,21 @@
 """Licence scans by Dice coefficient over word bigrams. DataFrame functions only.
 
-A document's units are its lines, its paragraphs (between empty lines, where it has several) and the
-whole text. A unit's words are its runs of letters and digits, lower-cased; its bigrams are a set. The
-Dice coefficient with a template's set, 2 |A & T| / (|A| + |T|), can reach a threshold t only if
-|T| lies between |A| t / (2 - t) and |A| (2 - t) / t, so other templates are not compared.
+A text's words are its runs of letters and digits, lower-cased, so that line ends, comment signs and
+markup between them don't count. A stretch of words matches a template if the Dice coefficient of
+their sets of bigrams, 2 |A & T| / (|A| + |T|), is ``threshold`` or more and the template's own phrases
+are in it. It then holds at least |T| t / (2 - t) of the template's bigrams; so a template of which the whole
+document has fewer is not compared, which leaves few templates for few documents.
+
+A template's stretch is the one that makes 2 |A & T| - t |A| largest, found in one pass over the words: a
+bigram of the template counts 2 - t, any other -t. It may begin and end anywhere: in a line, or paragraphs
+apart. Where stretches of several templates overlap, the one with the most bigrams in common stays, so a match is one row.
+
 Each document is worked on by itself: there is no shuffle and no join. Templates are a fixed number of
 short texts that stand in the expression.
 
-Defined results: a null or empty text matches nothing. Of templates that tie the first one counts.
-Rows equal in doc_id are scanned each by itself. Extra columns are not looked at.
+Defined results: a null or empty text matches nothing. Of templates that tie the first one counts. A licence
+that occurs several times gives a row for its best stretch. Rows equal in doc_id are scanned each by itself,
+and a null doc_id is kept. Extra columns are not looked at.
 """
 
 from __future__ import annotations
@@ -18,41 +25,9 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-THRESHOLD = 0.8
+from quillstone.llm.license_templates import TEMPLATES
 
-#: Short notices and the wording of well-known licences, by their usual identifiers.
-TEMPLATES = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("MIT", "Released under the MIT License."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
-    (
-        "Apache-2.0",
-        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at "
-        "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
-        "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
-    ),
-    (
-        "MIT",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without "
-        "restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the "
-        "Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the "
-        "Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR "
-        "PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, "
-        "ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
-    ),
-    (
-        "ISC",
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice "
-        "appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. "
-        "IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION "
-        "OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
-    ),
-)
+THRESHOLD = 0.8
 
 
 def words(text: Column) -> Column:
@@ -60,13 +35,17 @@ def words(text: Column) -> Column:
 
 
 def bigrams(tokens: Column) -> Column:
-    """The set of hashes of neighbouring pairs; fewer than two words have none."""
+    """Hashes of neighbouring pairs, in order; fewer than two words have none."""
     n = F.greatest(F.size(tokens) - 1, F.lit(0))
-    return F.array_distinct(F.zip_with(F.slice(tokens, F.lit(1), n), F.slice(tokens, F.lit(2), n), lambda a, b: F.xxhash64(a, b)))
+    return F.zip_with(F.slice(tokens, F.lit(1), n), F.slice(tokens, F.lit(2), n), lambda a, b: F.xxhash64(a, b))
+
+
+def word_list(text: str) -> list[str]:
+    return re.findall(r"[^\W_]+", text.lower())
 
 
 def template_bigrams(text: str) -> list[tuple[str, str]]:
-    found = re.findall(r"[^\W_]+", text.lower())
+    found = word_list(text)
     return list(dict.fromkeys(zip(found, found[1:], strict=False)))
 
 
@@ -75,34 +54,67 @@ def once(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def scan(docs: DataFrame, *, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, unit, unit_no, license, dice): a row for each unit that a template matches."""
-    sets = [(name, template_bigrams(text)) for name, text in templates]
-    low, high = threshold / (2 - threshold), (2 - threshold) / threshold
-    smallest, largest = min(len(s) for _, s in sets) * low, max(len(s) for _, s in sets) * high
-    known = F.array(*[F.struct(F.lit(i).alias("at"), F.lit(name).alias("name"), F.array(*[F.xxhash64(F.lit(a), F.lit(b)) for a, b in s]).alias("grams"), F.lit(len(s)).alias("n")) for i, (name, s) in enumerate(sets)])
+def _hashes(pairs: list[tuple[str, str]]) -> Column:
+    return F.array(*[F.xxhash64(F.lit(a), F.lit(b)) for a, b in pairs]) if pairs else F.expr("cast(array() as array<bigint>)")
+
+
+def best_stretch(grams: Column, wanted: Column, threshold: float) -> Column:
+    """(first, last) bigram of the stretch with the largest sum, where a wanted one counts 2 - t and any other -t."""
+    zero = F.struct(F.lit(0.0).alias("now"), F.lit(0).alias("at"), F.lit(0.0).alias("best"), F.lit(0).alias("first"), F.lit(-1).alias("last"), F.lit(0).alias("i"))
+
+    def step(a: Column, g: Column) -> Column:
+        value = F.when(F.array_contains(wanted, g), 2 - threshold).otherwise(-threshold)
+        fresh = a["now"] <= 0
+        now, at = F.when(fresh, value).otherwise(a["now"] + value), F.when(fresh, a["i"]).otherwise(a["at"])
+        better = now > a["best"]
+        return F.struct(
+            now.alias("now"), at.alias("at"), F.when(better, now).otherwise(a["best"]).alias("best"), F.when(better, at).otherwise(a["first"]).alias("first"), F.when(better, a["i"]).otherwise(a["last"]).alias("last"),
+            (a["i"] + 1).alias("i"),
+        )
+
+    return F.aggregate(grams, zero, step, lambda a: F.struct(a["first"].alias("first"), a["last"].alias("last")))
+
+
+def scan(docs: DataFrame, *, templates: tuple = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, license, dice, first_word, n_words, template): a row for each match."""
+    sets = [(name, template_bigrams(text), [p for x in must for p in template_bigrams(x)]) for name, text, must in templates]
+    low = threshold / (2 - threshold)
+    least = [max(1, -int(-len(s) * low // 1)) for _, s, _ in sets]
+    known = F.array(
+        *[
+            F.struct(F.lit(i).alias("at"), F.lit(name).alias("name"), _hashes(s).alias("grams"), _hashes(must).alias("must"), F.lit(len(s)).alias("n"), F.lit(few).alias("least"))
+            for i, ((name, s, must), few) in enumerate(zip(sets, least, strict=True))
+        ]
+    )
+    every = _hashes(list(dict.fromkeys(p for _, s, _ in sets for p in s)))
+
+    def compared(grams: Column, t: Column, place: Column) -> Column:
+        inside = F.slice(grams, place["first"] + 1, F.greatest(place["last"] - place["first"] + 1, F.lit(0)))
+
+        def judged(a: Column) -> Column:
+            both = F.size(F.array_intersect(a, t["grams"]))
+            dice = 2.0 * both / F.greatest(F.size(a) + t["n"], F.lit(1))
+            fits = (dice >= threshold) & (F.size(F.array_except(t["must"], a)) == 0)
+            return F.when(fits, F.struct(both.alias("both"), dice.alias("dice"), (-t["at"]).alias("order"), t["name"].alias("name"), place["first"].alias("first"), place["last"].alias("last")))
 
-    def best(grams: Column) -> Column:
-        sized = F.filter(known, lambda t: (t["n"] >= F.size(grams) * low) & (t["n"] <= F.size(grams) * high))
-        return F.array_max(F.transform(sized, lambda t: F.struct((2.0 * F.size(F.array_intersect(grams, t["grams"])) / (F.size(grams) + t["n"])).alias("dice"), (-t["at"]).alias("order"), t["name"].alias("name"))))
+        return once(F.array_distinct(inside), judged)
 
-    def unit(kind: str, tokens: Column, no: Column) -> Column:
-        """A match or null. A set of bigrams is no larger than the words less one, and no smaller than the distinct words less one."""
-        could = (F.size(tokens) - 1 >= smallest) & ((F.size(tokens) - 1 <= 2 * largest) | (F.size(F.array_distinct(tokens)) - 1 <= largest))
-        return F.when(could, F.struct(F.lit(kind).alias("unit"), no.cast("long").alias("unit_no"), once(bigrams(tokens), best).alias("best")))
+    def apart(found: Column) -> Column:
+        """Matches in the order of what they have in common; one that overlaps an earlier one goes."""
+        ranked = F.reverse(F.array_sort(found))
+        overlaps = lambda x, m: (x["first"] <= m["last"]) & (m["first"] <= x["last"])
+        return F.aggregate(ranked, F.slice(ranked, F.lit(1), F.lit(0)), lambda kept, m: F.when(F.exists(kept, lambda x: overlaps(x, m)), kept).otherwise(F.concat(kept, F.array(m))))
 
-    def units(paragraphs: Column) -> Column:
-        def all_units(lines: Column) -> Column:
-            return F.concat(
-                F.transform(lines, lambda t, i: unit("line", t, i)),
-                F.transform(F.filter(paragraphs, lambda _: F.size(paragraphs) > 1), lambda p, i: unit("paragraph", F.flatten(p), i)),
-                F.transform(F.filter(F.array(lines), lambda x: F.size(x) > 1), lambda x: unit("document", F.flatten(x), F.lit(0))),
-            )
+    def matches(grams: Column) -> Column:
+        def of_common(common: Column) -> Column:
+            likely = F.filter(known, lambda t: (F.size(common) >= t["least"]) & (F.size(F.array_intersect(common, t["grams"])) >= t["least"]) & (F.size(F.array_except(t["must"], common)) == 0))
+            found = F.transform(likely, lambda t: once(best_stretch(grams, t["grams"], threshold), lambda place: compared(grams, t, place)))
+            return F.when(F.size(common) >= min(least), once(F.filter(found, lambda m: m.isNotNull()), apart))
 
-        return once(F.flatten(paragraphs), all_units)
+        return once(F.array_intersect(grams, every), of_common)
 
-    split = F.transform(F.split(F.coalesce("text", F.lit("")), r"\n[ \t\r]*\n\s*", -1), lambda p: F.transform(F.split(p, "\n", -1), words))
-    matches = F.filter(once(split, units), lambda u: u["best"]["dice"] >= threshold)
     # An outer explode: else each document would be worked on twice, once to see whether there is a match.
-    found = docs.select("doc_id", F.explode_outer(matches).alias("u")).where(F.col("u").isNotNull())
-    return found.select("doc_id", "u.unit", "u.unit_no", F.col("u.best.name").alias("license"), F.round("u.best.dice", 6).alias("dice"))
+    found = docs.select("doc_id", F.explode_outer(once(bigrams(words(F.coalesce("text", F.lit("")))), matches)).alias("m")).where(F.col("m").isNotNull())
+    return found.select(
+        "doc_id", F.col("m.name").alias("license"), F.round("m.dice", 6).alias("dice"), F.col("m.first").alias("first_word"), (F.col("m.last") - F.col("m.first") + 2).alias("n_words"), (-F.col("m.order")).alias("template")
+    )
