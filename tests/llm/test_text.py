@@ -55,6 +55,14 @@ def check_pieces(rows, pieces, most=4096):
             assert all(p.doc_tokens == len(ids) for p in ps)
             got[(doc, tuple(ids))] += 1
         else:
+            # Rows of one doc_id can't be told apart by it: their pieces must be those of all of them.
+            flat = Counter(x for _, ids in ends for x in ids)
+            assert Counter(x for p in ps for x in np.frombuffer(bytes(p.ids), "<u4").tolist()) == flat
+            assert Counter(p.start for p in ps if p.start == 0) == {0: len(ends)}
+            assert {p.doc_tokens for p in ps} == {len(ids) for _, ids in ends}
+            for p in ps:
+                same = [ids for _, ids in ends if len(ids) == p.doc_tokens]
+                assert any(list(ids[p.start : p.start + p.length]) == np.frombuffer(bytes(p.ids), "<u4").tolist() for ids in same)
             got.update(ends)
     assert got == want
     sizes = []
@@ -104,7 +112,47 @@ def test_packer_serves_sources_without_a_share():
     assert sum(len(x[2]) >> 2 for x in p.rest()) == 5000
 
 
-def test_packing_to_given_weights(spark, odd):
+def test_deficits_are_what_is_due_less_what_is_given():
+    """Neither bounded nor reset, whatever waits; a source that lacked tokens for long gets them all when it has some."""
+    p = packing.Packer({"a": 0.5, "b": 0.5}, {"a": 1000.0, "b": -1000.0}, length=64, grain=8)
+    given = Counter(a=0, b=0)
+    for i in range(60):
+        p.add("b", f"b{i}", b"\0" * 4 * 64)
+    for _ in range(40):
+        given["b"] += sum(len(x[2]) >> 2 for x in p.window(64))
+    assert p.deficits == {"a": 1000 + 20 * 64, "b": -1000 + 20 * 64 - given["b"]} and given["b"] == 40 * 64
+    p.add("a", "a", b"\0" * 4 * 640)
+    first = list(p.window(64))
+    assert {x[0] for x in first} == {"a"}
+
+
+@pytest.mark.parametrize("part_bytes", [packing.PART_BYTES, 90_000])
+@pytest.mark.parametrize("weights", [{"x": 3, "y": 1}, {"x": 1, "y": 1}, {None: 1, "y": 3}])
+def test_packing_to_given_weights(spark, monkeypatch, part_bytes, weights):
+    """Windows follow the weights in all parts, as long as a part has tokens of all sources that have a weight."""
+    monkeypatch.setattr(packing, "PART_BYTES", part_bytes)
+    rng = random.Random(14)
+    words = ["alpha", "beta", "gamma", "delta", "rho"]
+    names = [s for s in weights for _ in range(weights[s])]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(20, 300))), names[i % len(names)]) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    pieces = packing.pack(docs, tokenizer=tokenizer_path(), weights=weights).collect()
+    check_pieces([(r[0], r[1]) for r in rows], pieces)
+    window = defaultdict(Counter)
+    for p in pieces:
+        window[p.sequence_id][p.source] += p.length
+    full = {k: w for k, w in window.items() if sum(w.values()) == 4096}
+    whole, last = sum(weights.values()), {}
+    for k in full:
+        last[k >> 32] = max(k, last.get(k >> 32, k))
+    assert (len(last) == 1) == (part_bytes > 1_000_000)
+    inner = [w for k, w in full.items() if last[k >> 32] - k > 2]
+    for s in weights:
+        assert abs(np.mean([w[s] / 4096 for w in inner]) - weights[s] / whole) < 0.05
+        assert np.mean([abs(w[s] / 4096 - weights[s] / whole) for w in inner]) < 0.1
+
+
+def test_packing_of_sources_without_weight(spark, odd):
     pieces = packing.pack(odd, tokenizer=tokenizer_path(), weights={"a": 3, "b": 1}).collect()
     check_pieces([(r[0], r[1]) for r in fx.odd_documents()], pieces)
 
