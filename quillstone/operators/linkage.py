@@ -9,14 +9,18 @@ from quillstone.functions import names
 
 
 def resolve_duplicates(rows: DataFrame, *, group: list[Column], best: list[Column], id_col: str = "id") -> DataFrame:
-    """The best row of each group, with ``duplicate_ids`` of those it stands for ("; " between)."""
-    keyed = rows.select("*", F.struct(*[g.alias(f"g{i}") for i, g in enumerate(group)]).alias("__g"))
-    w = Window.partitionBy("__g").orderBy(*best, F.asc(id_col))
-    nth = keyed.withColumn("__n", F.row_number().over(w))
-    lost = nth.where(F.col("__n") > 1).groupBy("__g").agg(F.array_join(F.transform(F.sort_array(F.collect_list(id_col)), lambda x: x.cast("string")), "; ").alias("duplicate_ids"))
-    kept = nth.where(F.col("__n") == 1).drop("__n")
-    joined = kept.join(lost, "__g", "left") if len(group) else kept
-    return joined.withColumn("duplicate_ids", F.coalesce("duplicate_ids", F.lit(""))).drop("__g")
+    """The best row of each group, with ``duplicate_ids`` of those it stands for ("; " between).
+
+    best: expressions of which the largest wins, one after another; then the least id. One aggregate: the best row
+    and the ids of all, pre-aggregated before the shuffle.
+    """
+    keys = [g.alias(f"__g{i}") for i, g in enumerate(group)]
+    order = F.struct(*[b.alias(f"b{i}") for i, b in enumerate(best)], (-F.col(id_col)).alias("id"))
+    rest = [c for c in rows.columns if c != id_col]
+    packed = rows.select(*keys, F.col(id_col).alias("__id"), order.alias("__order"), F.struct(*rest).alias("__row"))
+    found = packed.groupBy(*[f"__g{i}" for i in range(len(group))]).agg(F.max_by(F.struct("__id", "__row"), "__order").alias("__top"), F.sort_array(F.collect_list("__id")).alias("__ids"))
+    others = F.filter("__ids", lambda x: x != F.col("__top.__id"))
+    return found.select(F.col("__top.__id").alias(id_col), "__top.__row.*", F.array_join(F.transform(others, lambda x: x.cast("string")), "; ").alias("duplicate_ids"))
 
 
 def union_first(arms: list[DataFrame], id_col: str = "id") -> DataFrame:
@@ -147,7 +151,7 @@ def resolve_surnames(mentions: DataFrame) -> DataFrame:
 
     Mentions of a contested key by initial alone can't be assigned and have a null person.
     """
-    keyed = mentions.select("mention", names.surname_key_udf("mention").alias("k")).select("mention", "k.key", "k.first")
+    keyed = mentions.select("mention", names.surname_key_columns(F.col("mention")).alias("k")).select("mention", "k.key", "k.first")
     full = F.char_length("first") > 2
     contested = keyed.where(full).groupBy("key").agg(F.count_distinct("first").alias("forms"))
     joined = keyed.join(contested, "key", "left")
