@@ -62,9 +62,11 @@ def keep_bitmaps(docs: DataFrame, *, min_chars: int = 20, min_docs: int = 3) ->
     w = Window.partitionBy(*key, "slice").orderBy(F.desc_nulls_last("doc_id"), F.col("row_hash"), F.col("pos"))
     here = F.struct("doc_id")
     firsts = dealt.withColumn("before", F.lag(here).over(w)).where(~F.col("before").eqNullSafe(here))
-    holders = firsts.groupBy(*key, "doc_id").agg(F.lit(1).alias("one"))
-    verdicts = holders.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keep_id")).where(F.col("n") >= min_docs).select(*key, "keep_id")
-    dropped = dealt.join(verdicts, key).where(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    holders = firsts.groupBy(*key, "doc_id").agg(F.bit_or(F.expr("shiftleft(1L, slice)")).alias("slices"))
+    counted = holders.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keep_id"), F.bit_or("slices").alias("slices")).where(F.col("n") >= min_docs)
+    # A verdict goes to the slices that hold its key, so that no join meets all lines of a key in one task.
+    verdicts = counted.select(*key, "keep_id", F.explode(F.filter(F.sequence(F.lit(0), F.lit(SLICES - 1)), lambda i: F.getbit(F.col("slices"), i) == 1)).alias("slice"))
+    dropped = dealt.join(verdicts, [*key, "slice"]).where(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
     bit = F.expr("shiftleft(1L, pos % 64)")
     return (
         dropped.groupBy("doc_id", "row_hash", F.expr("pos div 64").cast("int").alias("word"))

@@ -37,7 +37,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 32
 ROWS = 4
-BLOCK = 1 << 20
+BLOCK = 1 << 16
 _DRAWN = np.random.default_rng(5).integers(0, 1 << 64, (3, BANDS * ROWS), dtype=np.uint64)
 _TIMES, _PLUS, _MIX = _DRAWN[0] | np.uint64(1), _DRAWN[1], _DRAWN[2] | np.uint64(1)
 
@@ -195,12 +195,17 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     left = dealt.join(texts.select("set_id"), "set_id").join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").select("set_id", "band", F.coalesce("root", "set_id").alias("label"))
     open_bands = left.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("band")
     open_sets = checkpoint(left.join(open_bands, "band"))
+    more = residue_links(open_sets, texts) if not open_sets.isEmpty() else None
+    groups = components(links if more is None else links.unionByName(more)).select(F.col("node").alias("set_id"), "root")
+    return marked.join(groups, "set_id", "left").select("no_id", "an_id", "text_hash", F.coalesce("root", "set_id").alias("root"))
+
+
+def residue_links(open_sets: DataFrame, texts: DataFrame) -> DataFrame:
+    """(u, v): links between sets (set_id, band, label) of different labels, by blocks of what hangs together."""
     residues = components(band_links(open_sets)).select(F.col("node").alias("set_id"), F.col("root"))
     held = residues.join(open_sets.select("set_id", "label").distinct(), "set_id").join(texts, "set_id")
     blocks = held.groupBy("root").agg(F.expr(f"cast(ceil(sum(size) / {BLOCK}) as int)").alias("blocks"))
     block = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
     spread = held.join(blocks, "root").withColumn("block", block).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     tasks = spread.select("root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "set_id", "label", "text")
-    more = tasks.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high").mapInArrow(_residues, "u long, v long")
-    groups = components(links.unionByName(more)).select(F.col("node").alias("set_id"), "root")
-    return marked.join(groups, "set_id", "left").select("no_id", "an_id", "text_hash", F.coalesce("root", "set_id").alias("root"))
+    return tasks.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high").mapInArrow(_residues, "u long, v long")

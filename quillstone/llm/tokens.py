@@ -22,7 +22,7 @@ _NUMBERS = "0-9²³¹¼½¾"
 _WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}ß]+|[{_NUMBERS}]|[^\s{_LETTERS}ß{_NUMBERS}]+")
 _OUTSIDE = re.compile("[^\t\n\x0b\x0c\r\x20-\x7e\xa1-įı-ɏ]")
 #: Words kept in the cache: a bound on memory.
-CACHE = 400_000
+CACHE = 120_000
 
 
 def _byte_letters() -> dict[str, int]:
