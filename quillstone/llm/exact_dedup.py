@@ -157,9 +157,10 @@ def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         keys = zip(*(batch.column(c).to_pylist() for c in [*KEY, "class", "salt", "nth", "role"]), batch.column("chunk"), strict=True)
         for i, (*place, role, chunk) in enumerate(keys):
-            data = memoryview(chunk.as_buffer())
+            # Not as a view: its bytes would be signed, and never equal to others beyond ASCII.
+            data = chunk.as_buffer().to_pybytes()
             if role == 0:
-                at, leader = place, bytes(data)
+                at, leader = place, data
             elif at != place or data != leader:
                 rows.append(i)
         yield batch.take(pa.array(rows, pa.int64())).select(ROW)

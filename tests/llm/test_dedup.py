@@ -103,6 +103,15 @@ def test_exact_over_many_chunks(spark):
     assert {r.doc_id: r.keep_id for r in exact_dedup.exact_dedup(docs).collect()} == {1: 2, 2: 2, 3: 5, 4: 4, 5: 5, 6: 7, 7: 7}
 
 
+def test_copies_do_not_differ(spark, odd):
+    """One round is enough where no fingerprints collide, whatever the script."""
+    marks = exact_dedup.fingerprints(odd).withColumn("class", F.lit(0))
+    assert marks.groupBy(*exact_dedup.KEY).count().where("count > 1").count() > 2
+    assert exact_dedup.differing(odd, marks).collect() == []
+    texts = spark.createDataFrame([(i, "École déjà vu 日本語") for i in range(300)], "doc_id long, text string")
+    assert exact_dedup.differing(texts, exact_dedup.fingerprints(texts).withColumn("class", F.lit(0))).collect() == []
+
+
 def test_exact_with_a_large_group(spark):
     docs = spark.range(100_000).select(F.col("id").alias("doc_id"), F.lit("one and the same").alias("text"))
     got = exact_dedup.exact_dedup(docs).agg(F.min("keep_id"), F.max("keep_id"), F.min("group_size"), F.count_if("kept"), F.count(F.lit(1))).first()
