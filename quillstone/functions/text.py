@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-#: Words that may stand before a title, identifier forms, entities.
+#: Words that may stand before a title, identifier forms.
 PREFIXES = ("book review", "review essay", "reviews", "review", "editorial", "erratum", "correction")
 DOI = r"^10\.[0-9]{4,9}/\S+$"
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " ", "&amp;": "&"}
 START_OF_WORD, END_OF_WORD = r"(^|[^\p{L}\p{N}_])", r"($|[^\p{L}\p{N}_])"
 
 
@@ -27,10 +29,24 @@ def any_word(text: Column, patterns: list[str]) -> Column:
     return text.rlike("(?i)(" + "|".join(word_pattern(p) for p in patterns) + ")")
 
 
+#: A named or numbered entity with its semicolon; the names are those of HTML 5.
+ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
 def unescape_html(text: Column) -> Column:
-    for entity, char in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    """Entities by the characters they stand for, each once; unknown ones stay."""
+    named = F.from_json(F.lit(json.dumps({f"&{k}": v for k, v in html5.items() if k.endswith(";")})), "map<string,string>")
+
+    def character(e: Column) -> Column:
+        number = F.when(e.rlike("^&#[0-9]"), F.regexp_extract(e, "[0-9]+", 0)).when(e.rlike("^&#[xX]"), F.conv(F.regexp_extract(e, "^&#[xX]([0-9a-fA-F]+)", 1), 16, 10)).cast("int")
+        return F.when(number.isNotNull(), F.when(number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF), F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))).otherwise(F.try_element_at(named, e))
+
+    # What gives an ampersand comes last, so that nothing is unescaped twice.
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)))
+    ampersand = lambda e: F.coalesce(character(e) == "&", F.lit(False))
+    ordered = F.concat(F.filter(found, lambda e: ~ampersand(e)), F.filter(found, ampersand))
+    done = F.aggregate(ordered, text, lambda t, e: F.replace(t, e, F.coalesce(character(e), e)))
+    return F.when(F.contains(text, F.lit("&")), done).otherwise(text)
 
 
 def alnum_key(text: Column) -> Column:
@@ -39,14 +55,15 @@ def alnum_key(text: Column) -> Column:
 
 
 def norm_title(title: Column) -> Column:
-    """Unescaped, without a leading kind of article, lower-cased words."""
-    plain = F.regexp_replace(F.trim(unescape_html(title)), f"(?i)^({'|'.join(PREFIXES)})\\s*[:\\-—]+\\s*", "")
+    """Unescaped, without a leading kind of article, lower-cased words; empty for null."""
+    plain = F.regexp_replace(unescape_html(F.coalesce(title, F.lit(""))), f"(?i)^\\s*({'|'.join(x.replace(' ', chr(92) + 's+') for x in PREFIXES)})\\s*[:\\-—]\\s*", "")
     return F.trim(F.regexp_replace(F.lower(plain), "[^a-z0-9]+", " "))
 
 
 def norm_journal(name: Column) -> Column:
-    plain = F.regexp_replace(F.lower(F.replace(unescape_html(name), F.lit("&"), F.lit(" and "))), "[^a-z0-9]+", " ")
-    return F.regexp_replace(F.trim(plain), "^the ", "")
+    """Unescaped, "and" for "&", without a leading "the", lower-cased words; empty for null."""
+    plain = F.replace(F.lower(unescape_html(F.coalesce(name, F.lit("")))), F.lit("&"), F.lit(" and "))
+    return F.trim(F.regexp_replace(F.regexp_replace(plain, r"^the\s+", ""), "[^a-z0-9]+", " "))
 
 
 def edit_ratio(a: str, b: str) -> float:
@@ -105,7 +122,7 @@ def jaccard(a: Column, b: Column) -> Column:
 
 
 def is_valid_doi(value: Column) -> Column:
-    return F.coalesce(value.rlike(DOI), F.lit(False))
+    return F.coalesce(F.regexp_replace(value, r"^\s+|\s+$", "").rlike(DOI), F.lit(False))
 
 
 def oai_to_doi(value: Column, pattern: str, prefix: str) -> Column:
@@ -146,15 +163,17 @@ def year_verdict(year: Column, years: Column) -> Column:
 
 
 def journal_match(our_issns: Column, their_issns: Column, ours: Column, theirs: Column) -> Column:
-    """(verdict, basis): numbers decide where both have them, else the names do."""
+    """(verdict, basis): numbers decide where both have them, else the names do. Numbers are trimmed and upper-cased."""
+    numbers = lambda x: F.transform(F.filter(F.coalesce(x, F.array().cast("array<string>")), lambda n: F.coalesce(n != "", F.lit(False))), lambda n: F.upper(F.trim(n)))
     a, b = norm_journal(ours), norm_journal(theirs)
-    numbered = (F.size(our_issns) > 0) & (F.size(their_issns) > 0)
+    mine, other = numbers(our_issns), numbers(their_issns)
+    numbered = (F.size(mine) > 0) & (F.size(other) > 0)
     answer = lambda verdict, basis: F.struct(F.lit(verdict).alias("verdict"), F.lit(basis).alias("basis"))
     words = lambda x: F.array_sort(F.array_distinct(F.split(x, " ")))
     return (
-        F.when(numbered & F.arrays_overlap(our_issns, their_issns), answer("match", "issn"))
+        F.when(numbered & F.arrays_overlap(mine, other), answer("match", "issn"))
         .when(numbered, answer("mismatch", "issn"))
-        .when(F.coalesce(b == "", F.lit(True)) | F.coalesce(a == "", F.lit(True)), answer("unknown", "none"))
+        .when(b == "", answer("unknown", "no_container_title"))
         .when((a == b) | F.startswith(a, b) | F.startswith(b, a) | (title_sim(a, b) >= 0.85), answer("match", "name"))
         .when(words(a) == words(b), answer("match", "name_tokens"))
         .otherwise(answer("mismatch", "name"))

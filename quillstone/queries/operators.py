@@ -176,7 +176,7 @@ def year_verdicts(t: Tables) -> DataFrame:
     return view(t, "papers").select("id", T.year_verdict(y, years).alias("verdict"))
 
 
-@frame("X22_journal_match", "select n_nationkey as id, case when n_nationkey % 4 = 0 then 'match' when n_nationkey % 4 = 1 then 'mismatch' when n_nationkey % 4 = 2 then 'match' else 'unknown' end as verdict, case when n_nationkey % 4 < 2 then 'issn' when n_nationkey % 4 = 2 then 'name' else 'none' end as basis from nation")
+@frame("X22_journal_match", "select n_nationkey as id, case when n_nationkey % 4 = 0 then 'match' when n_nationkey % 4 = 1 then 'mismatch' when n_nationkey % 4 = 2 then 'match' else 'unknown' end as verdict, case when n_nationkey % 4 < 2 then 'issn' when n_nationkey % 4 = 2 then 'name' else 'no_container_title' end as basis from nation")
 def journal_matches(t: Tables) -> DataFrame:
     k = F.col("n_nationkey") % 4
     none = F.array().cast("array<string>")

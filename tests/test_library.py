@@ -15,6 +15,7 @@ from quillstone.plans.sql import NotReadOnly, guard, run_sql
 from quillstone.sources import tables
 from quillstone.streaming import incremental
 
+#: Pairs of names, and whether nothing speaks against one person.
 ONE_PERSON = [
     ("Booth, Tim", "Booth, Wendy", False), ("van Nijnatten, C", "van den Ackerveken, M", False), ("Smith, J.", "Smith, Robert", False), ("de Jesus, Maria", "Jesus, Maria", False),
     ("Chenga, C.", "Charity Chenga", True), ("Roux, A. A.", "Adrie Roux", True), ("Freek Cronje", "Cronje, F.", True), ("Booth, Tim", "Tim Booth", True), ("Park Y.", "Park S.Y.", False),
@@ -97,6 +98,48 @@ def test_norm_titles(spark):
     assert [r.t for r in spark.createDataFrame(rows, "a string, w string").select(T.norm_title(F.col("a")).alias("t")).collect()] == [w for _, w in rows]
 
 
+@pytest.mark.parametrize("text", ["Caf&eacute; life", "a &amp;lt; b &lt; c", "&#233;t&#xE9; &#x1F600;", "&nosuch; &amp &copy;2020", "R&D; &amp;amp;", "&notin; &AMP; &hellip;", "plain", "", "&#38;lt; &lt;", "&#0; &#xD800;"])
+def test_unescape(spark, text):
+    """As the standard library has it, but for entities without a semicolon or without a character, which stay."""
+    import html
+
+    got = spark.createDataFrame([(text,)], "t string").select(T.unescape_html(F.col("t")).alias("u")).first().u
+    kept = {"&nosuch; &amp &copy;2020": "&nosuch; &amp \xa92020", "&#0; &#xD800;": "&#0; &#xD800;"}
+    assert got == kept.get(text, html.unescape(text))
+
+
+def test_identifiers_and_journals(spark):
+    assert [r.v for r in spark.createDataFrame([(" 10.1234/abc\n",), ("10.12/abc",), ("10.1234/a b",), (None,)], "d string").select(T.is_valid_doi(F.col("d")).alias("v")).collect()] == [True, False, False, False]
+    rows = [
+        (["1234-567x "], ["1234-567X"], "a", "b", ("match", "issn")), (["1234-5678"], ["8765-4321", ""], "a", "a", ("mismatch", "issn")), ([""], ["1"], "The Journal &amp; Review", "journal and review", ("match", "name")),
+        ([], [], "x", None, ("unknown", "no_container_title")), (None, None, None, "something", ("match", "name")), ([], [], "Global Social Work / Trabajo Social Global", "Trabajo Social Global-Global Social Work", ("match", "name_tokens")),
+        ([], [], "Nursing", "Physics of Fluids", ("mismatch", "name")),
+    ]
+    df = spark.createDataFrame([r[:4] for r in rows], "a array<string>, b array<string>, x string, y string")
+    assert [tuple(r.m) for r in df.select(T.journal_match(*map(F.col, "abxy")).alias("m")).collect()] == [r[4] for r in rows]
+    titles = spark.createDataFrame([("Caf&eacute; life",), (" Book  review : - x",), ("Reviews—On Y",), (None,)], "t string").select(T.norm_title(F.col("t")).alias("n")).collect()
+    assert [r.n for r in titles] == ["caf life", "x", "on y", ""]
+
+
+@pytest.mark.parametrize(("name", "kind"), [
+    ("Zuraini J.@.O.", None), ("Smith, J<i>x</i>", "corruption_entity"), ("Smith (", "corruption_trailing_punct"), ("Lee", "structural_fragment_short"), ("et al", "placeholder_convention"), ("various", "placeholder_convention"), (" Smith, J", None),
+    ("a@b.org", "corruption_email_url"), ("Coldon, Lawrence, 3rd", None), ("Coldon, 6th", "corruption_digits"), ("Gottlieb", "structural_bare_token"), ("SCHUERMA.JR", "format_wos_truncated"), ("THYER, BA", "format_all_caps_legacy"), (None, "empty"), ("  ", "empty"),
+    ("Filip CoussÃ©e", "corruption_mojibake"), ("Smith,  J", "corruption_whitespace"), ("[Anonymous]", "placeholder_convention"),
+])
+def test_name_quality(spark, name, kind):
+    assert spark.createDataFrame([(name,)], "n string").select(names.quality(F.col("n")).alias("k")).first().k == kind
+
+
+@pytest.mark.parametrize(("name", "want"), [
+    ("Mary St John", ("st john", ["mary"])), ("Ibrahim ibn Khalid", ("ibn khalid", ["ibrahim"])), ("van den Berg", ("van den berg", [])), ("Vincent van Gogh", ("van gogh", ["vincent"])), ("Islam M.R.", ("islam", ["m", "r"])), ("Al Gharaibeh F.", ("al gharaibeh", ["f"])),
+    ("Smith, Ann  Kay", ("smith", ["ann", "kay"])), ("Coldon, Lawrence, 3rd", ("coldon", ["lawrence,", "rd"])), (", Ann", None), ("", None), (None, None), ("Lee", ("lee", [])), ("S. Nixon", ("nixon", ["s"])), ("Cronjé, F.", ("cronje", ["f"])), ("A B", ("b", ["a"])), ("O'Neil J", ("o'neil", ["j"])),
+])
+def test_names_are_read_alike_in_columns_and_python(spark, name, want):
+    assert names.parse_name(name) == want
+    p = spark.createDataFrame([(name,)], "n string").select(names.parsed(F.col("n")).alias("p")).first().p
+    assert (p and (p.surname, p.given)) == want
+
+
 def test_digits(spark):
     rows = [("Letter from the Editors (5)", "Letter from the Editors (7)", True), ("part 007", "Part 7", False), ("part 7", "part", False), ("1 2", "2 1", True)]
     assert [r.c for r in spark.createDataFrame(rows, "a string, b string, w boolean").select(T.digits_conflict(F.col("a"), F.col("b")).alias("c")).collect()] == [w for *_, w in rows]
