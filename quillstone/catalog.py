@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillstone.queries import evaluation, operators, relational  # noqa: F401
+from quillstone.queries import evaluation, operators, relational, reports  # noqa: F401
 from quillstone.queries.base import ORACLES, QUERIES
 
 

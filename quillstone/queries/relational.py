@@ -41,7 +41,6 @@ sql("J1_inner_dim", lambda d: "select j.name, count(*) as n from papers p join j
 sql("J2_left_outer", lambda d: "select p.id, j.name as journal_name from papers p left join journals j on j.id = p.journal_id and j.publisher is not null")
 sql("J3_multiway_bridge", lambda d: f"select p.id, max(j.name) as journal, {d.agg('a.name', ', ', 'pa.position, a.id')} as byline from papers p left join journals j on j.id = p.journal_id left join paper_authors pa on pa.paper_id = p.id left join authors a on a.id = pa.author_id group by p.id")
 sql("J4_bridge_chain", lambda d: "select a.name, count(*) as n from paper_authors pa join papers p on p.id = pa.paper_id join authors a on a.id = pa.author_id where p.publication_year = 1998 group by 1")
-sql("J5_theta_self_join", lambda d: "select x.organization_id as org1, y.organization_id as org2, count(distinct x.paper_id) as n from author_affiliations x join author_affiliations y on x.paper_id = y.paper_id and x.organization_id < y.organization_id group by 1, 2")
 sql("J6_ego_self_join", lambda d: "select y.author_id as other, count(distinct x.paper_id) as together from paper_authors x join paper_authors y on y.paper_id = x.paper_id and y.author_id <> x.author_id where x.author_id = 7 group by 1")
 sql("J7_anti_join", lambda d: "select p.id from papers p where not exists (select 1 from paper_authors pa where pa.paper_id = p.id)")
 sql("J8_semi_and_anti", lambda d: "select p.id from papers p where exists (select 1 from paper_authors pa where pa.paper_id = p.id) and not exists (select 1 from paper_authors pa where pa.paper_id = p.id and pa.position = 1)")
@@ -120,26 +119,11 @@ sql("X23_publisher_stem", lambda d: f"select id, case when doi like 'oai:%' then
 sql("X27_group_collapse", lambda d: "select id, case when is_scientific is null then 'unknown' when not is_scientific then 'excluded' when is_empirical then 'empirical' else 'conceptual' end as grp from papers")
 
 # Views and reports.
-sql("Q1_author_publication_stats", lambda d: "select a.id, a.name, a.orcid, count(distinct pa.paper_id) as publication_count, count(distinct case when pa.position = 1 then pa.paper_id end) as first_author_count, count(distinct case when pa.is_corresponding then pa.paper_id end) as corresponding_author_count from authors a left join paper_authors pa on pa.author_id = a.id group by 1, 2, 3")
 sql("Q2_database_summary", lambda d: "select p.*, a.n as total_authors, o.n as total_organizations, j.n as total_journals from (select count(*) as total_papers, count(doi) as papers_with_doi, count(wos_uid) as wos_papers, count(scopus_eid) as scopus_papers, round(avg(times_cited), 2) as avg_citations, round(max(times_cited), 2) as max_citations, min(publication_year) as earliest_year, max(publication_year) as latest_year from papers) p cross join (select count(*) as n from authors) a cross join (select count(*) as n from organizations) o cross join (select count(*) as n from journals) j")
-sql("Q3_highly_cited_papers", lambda d: f"select p.id, p.title, p.times_cited, j.name as journal_name, {d.agg('a.name', ', ', 'pa.position, a.id')} as author_names from papers p left join journals j on j.id = p.journal_id left join paper_authors pa on pa.paper_id = p.id left join authors a on a.id = pa.author_id where p.times_cited > 400000 group by 1, 2, 3, 4")
-sql("Q4_organization_collaborations", lambda d: "select x.organization_id as org1_id, o1.name as org1_name, y.organization_id as org2_id, o2.name as org2_name, count(distinct x.paper_id) as collaboration_count from author_affiliations x join author_affiliations y on x.paper_id = y.paper_id and x.organization_id < y.organization_id join organizations o1 on o1.id = x.organization_id join organizations o2 on o2.id = y.organization_id group by 1, 2, 3, 4")
 sql("Q5_papers_with_journals", lambda d: "select p.id, p.title, p.doi, p.publication_year, j.name as journal_name, j.publisher as journal_publisher from papers p left join journals j on j.id = p.journal_id")
 sql("Q6_publication_trends", lambda d: "select publication_year, count(*) as paper_count, count(distinct journal_id) as journal_count, count(distinct case when wos_uid is not null then id end) as wos_count, count(distinct case when scopus_eid is not null then id end) as scopus_count, round(avg(times_cited), 2) as avg_citations, round(max(times_cited), 2) as max_citations from papers where publication_year is not null group by 1 order by 1 desc")
 sql("Q7_scoped_views", lambda d: f"select 'papers' as part, count(*) as n from papers where {SCOPE} union all select 'supplement', count(*) from papers where not ({SCOPE}) or publication_year is null union all select 'talks', count(*) from talks")
 sql("Q8_paper_export", lambda d: f"select t.id, t.title, t.year, t.methodology, {d.agg('s.name', '|', 'ta.author_order, s.id')} as canonical_authors, {d.agg('ta.institution', '|', 'ta.author_order, s.id')} as canonical_institutions from talks t left join talk_authors ta on ta.paper_id = t.id left join speakers s on s.id = ta.author_id group by 1, 2, 3, 4")
-sql("Q9_health_journal", lambda d: """
-select 'papers_without_authors' as block, count(*) as n from papers p where not exists (select 1 from paper_authors a where a.paper_id = p.id)
-union all select 'links_without_paper', count(*) from paper_authors a left join papers p on p.id = a.paper_id where p.id is null
-union all select 'links_without_author', count(*) from paper_authors l left join authors a on a.id = l.author_id where a.id is null
-union all select 'papers_without_journal', count(*) from papers p left join journals j on j.id = p.journal_id where j.id is null
-union all select 'duplicate_dois', count(*) from (select lower(doi) as k from papers where doi is not null group by 1 having count(*) > 1) x
-union all select 'oai_dois', count(*) from papers where doi like 'oai:%'
-union all select 'no_first_position', count(*) from papers p where exists (select 1 from paper_authors a where a.paper_id = p.id) and not exists (select 1 from paper_authors a where a.paper_id = p.id and a.position = 1)
-union all select 'duplicate_positions', count(*) from (select paper_id, position from paper_authors group by 1, 2 having count(*) > 1) y
-union all select 'unclassified', count(*) from papers where is_scientific is null
-union all select 'duplicate_author_names', count(*) from (select lower(name) as k from authors group by 1 having count(*) > 1) z
-""")
 sql("Q10_health_conference", lambda d: """
 select 'author_count_differs' as block, count(*) as n from talks t join (select paper_id, count(*) as n from talk_authors group by 1) c on c.paper_id = t.id where t.author_count is distinct from c.n
 union all select 'no_abstract', count(*) from talks where abstract is null
