@@ -60,6 +60,17 @@ def best_candidate(pairs: DataFrame, *, sim: str, author: str, eligible: Column,
     return top.withColumn("verdict", verdict).withColumn("tier", F.when(F.col("verdict") == "recovered", "B").otherwise("C")).drop("__n", "__sim2", "__author2", "__ok2", "__ok")
 
 
+def registry_search(records: DataFrame, registry: DataFrame, *, within: Column, sim: Column, k: int = 5) -> DataFrame:
+    """(id, candidate, sim): the k registry entries most like each record, of those that the filter ``within`` leaves.
+
+    records have id, registry has candidate; within names columns of both and should hold an equality, so that
+    the join is by key.
+    """
+    w = Window.partitionBy("id").orderBy(F.desc("sim"), F.asc("candidate"))
+    scored = records.join(registry, within).where(F.col("id") != F.col("candidate")).select("id", "candidate", sim.alias("sim"))
+    return scored.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= k).drop("__n")
+
+
 def rule_arm(records: DataFrame, registry: DataFrame, *, candidate: Column, sim: Column, confirm: float = 0.90) -> DataFrame:
     """Records whose identifier follows from a rule: no_rule_match, candidate_not_in_crossref, title_mismatch or recovered."""
     found = records.withColumn("candidate", candidate).join(registry.select(F.lower("doi").alias("__doi"), F.col("title").alias("registry_title")), F.lower("candidate") == F.col("__doi"), "left")

@@ -144,3 +144,13 @@ def audit(records: DataFrame, baseline: DataFrame, *, digits: Column, overlap: C
     foreign = F.col("known").isNotNull() & ~F.array_contains("known", F.col("prefix")) & ~container
     reasons = F.filter(F.array(F.when(foreign, "foreign_prefix"), F.when(digits, "digits_conflict"), F.when(both & (overlap < 0.10), "authors_disjoint")), lambda x: x.isNotNull())
     return records.join(known, "journal", "left").withColumn("reasons", reasons).drop("known")
+
+
+def metadata(named: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, n, columns, vectors): exact counts of tables, their columns, and which of those hold vectors."""
+    out = None
+    for name, df in named.items():
+        vectors = [f.name for f in df.schema if f.dataType.simpleString() in ("array<float>", "array<double>")]
+        one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n", F.lit(len(df.columns)).cast("long").alias("columns"), F.lit(", ".join(vectors)).alias("vectors"))
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -1,6 +1,6 @@
 """Full-text, vector, hybrid and fuzzy search as functions from DataFrames to ranked DataFrames.
 
-Ranking is BM25 over plain lower-cased words, without stemming. Vector search is exact. A query of fixed
+Ranking is BM25 over lower-cased words, plain or by their stems. Vector search is exact. A query of fixed
 size stands in the plan as a literal, so searches are one scan with partial top-k.
 """
 
@@ -16,6 +16,7 @@ from quillstone.functions.text import trigram_sim
 
 K1, B = 1.2, 0.75
 POOL = 60
+STATEMENTS = 1000
 
 
 def words(text: Column) -> Column:
@@ -62,6 +63,38 @@ def parse_query(text: str) -> Query:
     return out
 
 
+#: The first step of Porter's stemmer as replacements, one after another, in patterns that any engine knows.
+STEMS = (
+    ("sses$", "ss"), ("ies$", "i"), ("([^s])s$", r"\1"), ("^(.*[aeiouy][^aeiouy].*)eed$", r"\1ee"), ("^(.*(?:at|iz)|.*[aeiouy].*bl)(?:ed|ing)$", r"\1e"),
+    *((f"^(.*[aeiouy].*{c}){c}(?:ed|ing)$", r"\1") for c in "bdfgmnprt"), ("^(.*[aeiouy].*[^e]|.*[aiouy])ed$", r"\1"), ("^(.*[aeiouy].*)ing$", r"\1"), ("^(.*[aeiouy].*)y$", r"\1i"),
+)
+
+
+def stem_word(word: str) -> str:
+    for pattern, by in STEMS:
+        word = re.sub(pattern, by, word)
+    return word
+
+
+def stem(word: Column) -> Column:
+    for pattern, by in STEMS:
+        word = F.regexp_replace(word, pattern, by.replace("\\", "$"))
+    return word
+
+
+def stemmed(query: Query) -> Query:
+    return Query([[tuple(map(stem_word, p)) for p in group] for group in query.any_of], [tuple(map(stem_word, p)) for p in query.none_of])
+
+
+def stems(w: Column, query: Query) -> Column:
+    """The words, those that may be forms of the query's stems by their stems.
+
+    A stem begins with its first two letters in every form, so that other words need no patterns.
+    """
+    heads = sorted({t[:2] for t in [*query.terms, *(x for p in query.none_of for x in p)]})
+    return F.transform(w, lambda x: F.when(F.left(x, F.lit(2)).isin(*heads), stem(x)).otherwise(x)) if heads else w
+
+
 def has_phrase(w: Column, phrase: tuple[str, ...]) -> Column:
     """The words of a phrase one after another."""
     if len(phrase) == 1:
@@ -87,16 +120,40 @@ def occurrences(w: Column, term: str) -> Column:
     return F.size(F.filter(w, lambda x: x == term))
 
 
-def bm25(docs: DataFrame, query: Query, id_col: str = "id", text_col: str = "text") -> DataFrame:
+def likely(text: Column, query: Query) -> Column:
+    """Whether a lower-cased text may match: one of the alternatives has (the beginnings of) all of its words in it.
+
+    Far cheaper than taking the text apart; texts without them can't match.
+    """
+    alternatives = []
+    for group in query.any_of:
+        every = F.lit(True)
+        for term in {t for phrase in group for t in phrase}:
+            every = every & F.contains(text, F.lit(term[:-1] if len(term) > 2 else term[:1]))
+        alternatives.append(every)
+    hit = alternatives[0] if alternatives else F.lit(True)
+    for a in alternatives[1:]:
+        hit = hit | a
+    return hit
+
+
+def bm25(docs: DataFrame, query: Query, id_col: str = "id", text_col: str = "text", *, by_stem: bool = False) -> DataFrame:
     """(id, score) of the documents that match; statistics cover all documents.
 
-    Document lengths and the query's own term counts come from one scan; the statistics are one row.
+    by_stem: words count as equal if their stems are. The statistics are one row; of the documents only those that may match are taken
+    apart a second time.
     """
+    query = stemmed(query) if by_stem else query
     terms = query.terms
-    split = docs.select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("w"))
-    counted = split.select("id", F.size("w").alias("length"), *[occurrences(F.col("w"), t).alias(f"tf{i}") for i, t in enumerate(terms)], matches(F.col("w"), query).alias("hit"))
-    stats = counted.agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))])
-    joined = counted.where("hit").crossJoin(F.broadcast(stats))
+
+    def counted(rows: DataFrame) -> DataFrame:
+        w = words(F.col(text_col))
+        split = rows.select(F.col(id_col).alias("id"), (stems(w, query) if by_stem else w).alias("w"))
+        return split.select("id", F.size("w").alias("length"), *[occurrences(F.col("w"), t).alias(f"tf{i}") for i, t in enumerate(terms)], matches(F.col("w"), query).alias("hit"))
+
+    stats = counted(docs).agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))])
+    hits = counted(docs.where(likely(F.lower(text_col), query))).where("hit")
+    joined = hits.crossJoin(F.broadcast(stats))
     score = F.lit(0.0)
     for i in range(len(terms)):
         tf, df = F.col(f"tf{i}"), F.col(f"df{i}")
@@ -108,9 +165,11 @@ def best(df: DataFrame, score: str, k: int, tie: str = "id") -> DataFrame:
     return df.orderBy(F.desc(score), F.asc(tie)).limit(k)
 
 
-def keyword_search(docs: DataFrame, text: str, *, k: int = 10, where: Column | None = None, min_rank: float | None = None, **names: str) -> DataFrame:
-    """(id, score): the k best documents of a web-style query. ``where`` filters before the cut."""
-    found = bm25(docs if where is None else docs.where(where), parse_query(text), **names)
+def keyword_search(docs: DataFrame, text: str, *, k: int = 10, where: Column | None = None, years: tuple[int, int] | None = None, year_col: str = "year", min_rank: float | None = None, **options) -> DataFrame:
+    """(id, score): the k best documents of a web-style query. ``where`` and ``years`` filter before the cut."""
+    rows = docs if where is None else docs.where(where)
+    rows = rows if years is None else rows.where(F.col(year_col).between(*years))
+    found = bm25(rows, parse_query(text), **options)
     return best(found if min_rank is None else found.where(F.col("score") >= min_rank), "score", k)
 
 
@@ -156,9 +215,12 @@ def hybrid_search(docs: DataFrame, vectors: DataFrame, text: str, query: list[fl
 def recall_audit(vectors: DataFrame, statements: DataFrame, known: DataFrame, *, k: int = 40, floor: float = 0.5) -> DataFrame:
     """(id, similarity, statement): near neighbours of several statements that the corpus lacks.
 
-    Each statement (statement, q) gives its k nearest; a document counts for the first that found it.
+    Each statement (statement, q) gives its k nearest; a document counts for the first that found it. Statements are
+    a stated list, of which more than ``STATEMENTS`` are refused: they are broadcast.
     """
-    near = vectors.crossJoin(F.broadcast(statements)).select("id", "statement", cosine(F.col("embedding"), F.col("q")).alias("similarity"))
+    if statements.limit(STATEMENTS + 1).count() > STATEMENTS:
+        raise ValueError(f"more than {STATEMENTS} statements")
+    near = vectors.crossJoin(F.broadcast(statements.limit(STATEMENTS))).select("id", "statement", cosine(F.col("embedding"), F.col("q")).alias("similarity"))
     top = near.where(F.col("similarity") >= floor).withColumn("r", F.row_number().over(Window.partitionBy("statement").orderBy(F.desc("similarity"), "id"))).where(F.col("r") <= k)
     first = top.withColumn("n", F.row_number().over(Window.partitionBy("id").orderBy("statement"))).where("n = 1")
     return first.join(known.select("id"), "id", "left_anti").select("id", "similarity", "statement")

@@ -1,19 +1,30 @@
-"""Lineage cuts in the folder that the session names."""
+"""Lineage cuts and written tables in the folder that the session names."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in ``spark.checkpoint.dir``; on a local master without one, in a temporary folder."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; on a local master without one, a temporary folder, set once for the session."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -1,12 +1,15 @@
-"""A read-only SQL entry: one SELECT, no semicolon, a row cap."""
+"""A read-only SQL entry: one SELECT, no semicolon, a row cap, a time limit."""
 
 from __future__ import annotations
 
 import re
+import threading
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 CAP = 1000
+SECONDS = 30.0
 _LITERAL = re.compile(r"'(?:[^']|'')*'|--[^\n]*|/\*.*?\*/", re.S)
 
 
@@ -30,3 +33,29 @@ def run_sql(spark: SparkSession, text: str, *, cap: int | None = CAP) -> DataFra
     """The rows of a query, at most ``cap`` of them."""
     df = spark.sql(guard(text))
     return df if cap is None else df.limit(cap)
+
+
+class TooSlow(TimeoutError):
+    pass
+
+
+def fetch_sql(spark: SparkSession, text: str, *, cap: int = CAP, seconds: float = SECONDS) -> list[Row]:
+    """The rows of a query, at most ``cap``; its jobs are cancelled once ``seconds`` are over."""
+    sc, tag, over = spark.sparkContext, f"sql-{uuid.uuid4().hex}", threading.Event()
+
+    def stop() -> None:
+        over.set()
+        sc.cancelJobsWithTag(tag)
+
+    timer = threading.Timer(seconds, stop)
+    sc.addJobTag(tag)
+    timer.start()
+    try:
+        return run_sql(spark, text, cap=cap).collect()
+    except Exception as e:
+        if over.is_set():
+            raise TooSlow(f"no result within {seconds:g} s") from e
+        raise
+    finally:
+        timer.cancel()
+        sc.removeJobTag(tag)

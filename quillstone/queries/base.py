@@ -108,7 +108,7 @@ def with_collections(body: str) -> str:
     return f"with {head}, {body[5:]}" if body.startswith("with ") else f"with {head}\n{body}"
 
 
-def sql(name: str, make: Callable[[Dialect], str], *, bare: bool = False) -> None:
+def sql(name: str, make: Callable[[Dialect], str], *, bare: bool = False, cap: int | None = None) -> None:
     """Register a query given as SQL over the collections (``bare``: over the tables alone)."""
 
     def text(d: Dialect) -> str:
@@ -116,7 +116,7 @@ def sql(name: str, make: Callable[[Dialect], str], *, bare: bool = False) -> Non
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         Tables(spark, sf_dir).views(only=text(SPARK))
-        return run_sql(spark, text(SPARK), cap=None)
+        return run_sql(spark, text(SPARK), cap=cap)
 
     QUERIES[name] = run
     ORACLES[name] = text(DUCK)

@@ -10,7 +10,8 @@ from quillstone.functions.names import INITIALS, NO_NAME, PARTICLES, compatible_
 from quillstone.functions.names import quality as quality_of
 from quillstone.operators import graph, linkage, quality, search
 from quillstone.queries.base import frame, over, view
-from quillstone.sources.tables import Tables, page, rest_scan
+from quillstone.plans.checkpoint import scratch
+from quillstone.sources.tables import CountMismatch, Tables, export, gate, page, read_cache, read_csv, read_json, rest_scan, write_cache, write_csv
 from quillstone.streaming import incremental
 
 # Sources.
@@ -38,32 +39,82 @@ def json_fields(t: Tables) -> DataFrame:
     return t.events.where("event_type = 'click'").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
 
 
-@frame("S7_cache_lookup", "select n_nationkey as key, case when n_nationkey % 2 = 0 then n_name end as value from nation")
+@frame("S7_cache_lookup", "select cast(n_nationkey as varchar) as key, case when n_nationkey % 2 = 0 then n_name end as value from nation")
 def cache_lookup(t: Tables) -> DataFrame:
-    known = t.nation.where("n_nationkey % 4 = 0").select(F.col("n_nationkey").alias("key"), F.col("n_name").alias("value"))
-    registry = t.nation.where("n_nationkey % 2 = 0").select(F.col("n_nationkey").alias("key"), F.col("n_name").alias("value"))
-    return incremental.lookup(t.nation.select(F.col("n_nationkey").alias("key")), known, lambda missing: registry.join(missing, "key", "left_semi"))[0]
+    """A cache of gzipped JSON lines is written, read, completed from the registry, written again, and asked."""
+    path = scratch(t.spark, "cache")
+    nation = t.nation.select(F.col("n_nationkey").cast("string").alias("key"), F.col("n_name").alias("value"), "n_nationkey")
+    write_cache(nation.where("n_nationkey % 4 = 0"), f"{path}/first")
+    registry = nation.where("n_nationkey % 2 = 0").select("key", "value")
+    _, full = incremental.lookup(nation.select("key"), read_cache(t.spark, f"{path}/first"), lambda missing: registry.join(missing, "key", "left_semi"))
+    write_cache(full, f"{path}/full")
 
+    def nothing(missing: DataFrame) -> DataFrame:
+        return missing.select("key", F.lit("asked again").alias("value"))
 
-@frame("S9_projected_columns", "select r_regionkey, r_name from region")
-def projected(t: Tables) -> DataFrame:
-    return t.region.select(*[c for c in ("r_regionkey", "r_name", "absent") if c in t.region.columns])
+    return incremental.lookup(nation.select("key"), read_cache(t.spark, f"{path}/full"), nothing)[0]
 
 
-@frame("S10_release_export", over("select 'papers' as name, count(*) as records from papers where publication_year >= 1997 union all select 'supplement', count(*) from papers where publication_year < 1997 union all select 'authors', count(*) from authors union all select 'links', count(*) from paper_authors"))
+@frame("S9_projected_columns", "select r_regionkey, r_name from region")
+def projected(t: Tables) -> DataFrame:
+    """A CSV with a byte order mark and only the columns asked for that there are, read back."""
+    path = scratch(t.spark, "csv")
+    write_csv(t.region, path, ("r_regionkey", "r_name", "absent"), bom=True)
+    raw = t.spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).where(F.hex(F.substring("content", 1, 3)) == "EFBBBF")
+    header = raw.select(F.split(F.decode(F.substring("content", 4, 1000), "UTF-8"), "\n")[0].alias("h")).first().h
+    return read_csv(t.spark, path, ", ".join(f"{c} {t.region.schema[c].dataType.simpleString()}" for c in header.split(",")))
+
+
+def release_frames(t: Tables) -> dict[str, tuple[DataFrame, list[str]]]:
+    """The named outputs of a release, and their orders."""
+    papers = view(t, "papers").join(view(t, "journals").select(F.col("id").alias("journal_id"), F.col("name").alias("journal")), "journal_id")
+    core = ["id", "doi", "title", "abstract", "publication_year", "journal", "document_type"]
+    in_scope = F.col("publication_year") >= 1997
+    whole = F.coalesce(F.col("is_scientific") & F.col("abstract").isNotNull(), F.lit(False))
+    authors, links = view(t, "authors"), view(t, "paper_authors")
+    enriched = authors.where("orcid is not null").select(F.col("id").alias("author_id"), F.col("name").alias("name_as_published"), F.upper("name").alias("full_name"))
+    talks, credits = view(t, "talks"), view(t, "talk_authors")
+    return {
+        "articles": (papers.where(in_scope & whole).select(*core, "is_empirical", "research_method"), ["id"]),
+        "additional_records": (papers.where(in_scope & ~whole).select(*core, "is_scientific", "is_empirical", "research_method"), ["id"]),
+        "supplement": (papers.where(~in_scope).select(*core), ["id"]),
+        "journals": (view(t, "journals"), ["id"]),
+        "authors": (authors.select("id", "name", "orcid"), ["id"]),
+        "paper_authors": (links, ["paper_id", "position", "author_id"]),
+        "organizations": (view(t, "organizations"), ["id"]),
+        "author_affiliations": (view(t, "author_affiliations"), ["paper_id", "author_id", "organization_id"]),
+        "author_name_enrichment": (enriched, ["author_id"]),
+        "presentations": (talks.select("id", "year", "title", "abstract", "format", "methodology", "author_count"), ["id"]),
+        "speakers": (view(t, "speakers"), ["id"]),
+        "talk_authors": (credits.select("paper_id", "author_id", "author_order", "institution", "country"), ["paper_id", "author_order", "author_id"]),
+    }
+
+
+_WHOLE = "coalesce(is_scientific and abstract is not null, false)"
+_RELEASE = {
+    "articles": f"papers where publication_year >= 1997 and {_WHOLE}", "additional_records": f"papers where publication_year >= 1997 and not {_WHOLE}", "supplement": "papers where publication_year < 1997", "journals": "journals", "authors": "authors",
+    "paper_authors": "paper_authors", "organizations": "organizations", "author_affiliations": "author_affiliations", "author_name_enrichment": "authors where orcid is not null", "presentations": "talks", "speakers": "speakers", "talk_authors": "talk_authors",
+}
+
+
+@frame("S10_release_export", over(" union all ".join(f"select '{n}' as name, count(*) as records, '{n}.csv' as file from {x}" for n, x in _RELEASE.items())))
 def release(t: Tables) -> DataFrame:
-    papers = view(t, "papers")
-    named = {"papers": papers.where("publication_year >= 1997"), "supplement": papers.where("publication_year < 1997"), "authors": view(t, "authors"), "links": view(t, "paper_authors")}
-    out = None
-    for name, df in named.items():
-        one = df.agg(F.count(F.lit(1)).alias("records")).select(F.lit(name).alias("name"), "records")
-        out = one if out is None else out.unionAll(one)
-    return out
+    """All outputs are written in order as CSV, counted from what was written, and listed in a manifest, which is read back."""
+    folder, named = scratch(t.spark, "release"), release_frames(t)
+    export(t.spark, folder, {n: df for n, (df, _) in named.items()}, {"journals": t.nation.count()}, order={n: by for n, (_, by) in named.items()})
+    return read_json(t.spark, f"{folder}/manifest", "name string, records long, file string")
 
 
 @frame("S12_count_gate", "select 'nation' as name, count(*) as n, 25 as expected, count(*) = 25 as ok from nation")
 def count_gate(t: Tables) -> DataFrame:
-    return t.nation.agg(F.count(F.lit(1)).alias("n")).select(F.lit("nation").alias("name"), "n", F.lit(25).alias("expected"), (F.col("n") == 25).alias("ok"))
+    """The gate lets the right count pass and stops a wrong one."""
+    n = gate("nation", t.nation.count(), 25)
+    try:
+        gate("nation", n, n + 1)
+        stopped = False
+    except CountMismatch:
+        stopped = True
+    return t.spark.createDataFrame([("nation", n, 25, stopped)], "name string, n long, expected int, ok boolean")
 
 
 @frame("S13_data_dictionary", "select 'c_custkey' as \"column\", count(c_custkey) as filled, round(100.0 * count(c_custkey) / count(*), 1)::double as pct from customer union all select 'c_name', count(c_name), round(100.0 * count(c_name) / count(*), 1)::double from customer union all select 'c_nationkey', count(c_nationkey), round(100.0 * count(c_nationkey) / count(*), 1)::double from customer union all select 'c_acctbal', count(c_acctbal), round(100.0 * count(c_acctbal) / count(*), 1)::double from customer union all select 'c_mktsegment', count(c_mktsegment), round(100.0 * count(c_mktsegment) / count(*), 1)::double from customer")
@@ -71,12 +122,22 @@ def dictionary(t: Tables) -> DataFrame:
     return quality.null_profile(t.customer)
 
 
-@frame("S16_registry_search", "select q.p_partkey as id, c.p_partkey as candidate from part q join part c on c.p_brand = q.p_brand and abs(c.p_size - q.p_size) <= 1 and c.p_name = q.p_name and c.p_partkey <> q.p_partkey qualify row_number() over (partition by q.p_partkey order by c.p_partkey) <= 5")
+@frame("S16_registry_search", """
+    with n as (select p_partkey id, p_brand b, p_size s, p_name || ' ' || p_type x from part),
+    c as (select q.id, c.id candidate, round(1 - levenshtein(q.x, c.x) / cast(greatest(length(q.x), length(c.x)) as double), 6) sim from n q join n c on c.b = q.b and abs(c.s - q.s) <= 1 and c.id <> q.id)
+    select id, candidate, sim from c qualify row_number() over (partition by id order by sim desc, candidate) <= 5""")
 def registry_search(t: Tables) -> DataFrame:
-    q = t.part.alias("q")
-    pairs = q.join(t.part.alias("c"), F.expr("c.p_brand = q.p_brand and abs(c.p_size - q.p_size) <= 1 and c.p_name = q.p_name and c.p_partkey <> q.p_partkey"))
-    w = Window.partitionBy("id").orderBy("candidate")
-    return pairs.select(F.col("q.p_partkey").alias("id"), F.col("c.p_partkey").alias("candidate")).withColumn("n", F.row_number().over(w)).where("n <= 5").drop("n")
+    """Same number, neighbouring year, then the five most similar titles."""
+    title = F.concat_ws(" ", "p_name", "p_type")
+    ours = t.part.select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("issn"), F.col("p_size").alias("year"), title.alias("x"))
+    theirs = t.part.select(F.col("p_partkey").alias("candidate"), F.col("p_brand").alias("c_issn"), F.col("p_size").alias("c_year"), title.alias("y"))
+    return linkage.registry_search(ours, theirs, within=(F.col("issn") == F.col("c_issn")) & (F.abs(F.col("year") - F.col("c_year")) <= 1), sim=F.round(T.levenshtein_sim(F.col("x"), F.col("y")), 6))
+
+
+@frame("X25_today")
+def today(t: Tables) -> DataFrame:
+    """The current time, to the day; it has no SQL since it isn't the same twice."""
+    return t.region.select("r_regionkey", F.date_format(F.current_timestamp(), "yyyy-MM-dd").alias("today"))
 
 
 @frame("S18_embedding_queue", "select o_orderkey as id from orders where o_orderkey % 3 <> 0")
@@ -84,6 +145,13 @@ def embedding_queue(t: Tables) -> DataFrame:
     return incremental.pending(t.orders.select(F.col("o_orderkey").alias("id")), t.orders.where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("id")), ["id"])
 
 
+@frame("S14_metadata", """
+    select 'embeddings' as table_name, (select count(*) from embeddings) as n, cast(3 as bigint) as columns, 'embedding' as vectors union all select 'documents', (select count(*) from documents), cast(5 as bigint), '' union all select 'labels', (select count(*) from labels), cast(3 as bigint), ''""")
+def metadata(t: Tables) -> DataFrame:
+    """Exact counts, numbers of columns, and columns that hold vectors."""
+    return quality.metadata({n: getattr(t, n) for n in ("embeddings", "documents", "labels")})
+
+
 # Word boundaries and scalar functions.
 
 
@@ -276,6 +344,23 @@ def keyword(t: Tables) -> DataFrame:
     return search.keyword_search(_docs(t), "thanea thanedble")
 
 
+def _stem_sql(x: str) -> str:
+    for pattern, by in search.STEMS:
+        x = f"regexp_replace({x}, '{pattern}', '{by}')"
+    return x
+
+
+_YEARS = "documents where 1990 + doc_id % 10 between 1993 and 1997"
+_STEM_AND = _bm25(["ening", "hation"], "tf0 > 0 and tf1 > 0").replace("from documents)", f"from {_YEARS})").replace(f"{_W} w", f"list_transform({_W}, lambda x: {_stem_sql('x')}) w").replace("x = 'ening'", f"x = '{search.stem_word('ening')}'").replace("x = 'hation'", f"x = '{search.stem_word('hation')}'")
+
+
+@frame("T1_stemmed_years", f"with {_STEM_AND} select id, score from kw order by score desc, id limit 10")
+def stemmed_keyword(t: Tables) -> DataFrame:
+    """Any form of the words, in a range of years."""
+    docs = _docs(t).withColumn("year", F.col("id") % 10 + 1990)
+    return search.keyword_search(docs, "enings hations", years=(1993, 1997), by_stem=True)
+
+
 @frame("T1_keyword_or_not", f"with {_bm25(['ention', 'hation'], '(tf0 > 0 or tf1 > 0)')}, bad as (select id from d where list_contains(w, 'thanea')) select id, score from kw where id not in (select id from bad) order by score desc, id limit 20")
 def keyword_or(t: Tables) -> DataFrame:
     return search.keyword_search(_docs(t), "ention or hation -thanea", k=20)
@@ -737,6 +822,19 @@ def dedup_titles(t: Tables) -> DataFrame:
     return linkage.resolve_duplicates(rows, group=[F.col("k"), F.col("lang")], best=[]).select("id", "duplicate_ids")
 
 
+@frame("L13_best_of_group", over("""
+    with c as (select p.id, p.title || ' ' || p.journal_id t, p.publication_year y, p.doi is not null d, length(coalesce(p.abstract, '')) a, (select count(*) from paper_authors l where l.paper_id = p.id) n from papers p),
+    r as (select *, first_value(id) over (partition by t, y order by d desc, a desc, n desc, id) best from c)
+    select best as id, coalesce(string_agg(cast(id as varchar), '; ' order by id) filter (where id <> best), '') as duplicate_ids from r group by t, y, best"""))
+def best_of_group(t: Tables) -> DataFrame:
+    """Of records with one title and year the one with an identifier, the longest abstract and the most authors."""
+    authors = view(t, "paper_authors").groupBy(F.col("paper_id").alias("id")).agg(F.count(F.lit(1)).alias("authors"))
+    papers = view(t, "papers").join(authors, "id", "left")
+    title = F.concat_ws(" ", "title", F.col("journal_id").cast("string"))
+    best = [F.col("doi").isNotNull(), F.char_length(F.coalesce("abstract", F.lit(""))), F.coalesce("authors", F.lit(0))]
+    return linkage.resolve_duplicates(papers, group=[title, F.col("publication_year")], best=best).select("id", "duplicate_ids")
+
+
 @frame("L15_search_arm", "with p as (select p_partkey id, p_partkey % 7 k from part) select id, case k when 0 then 'no_candidate' when 1 then 'weak_title' when 2 then 'digits_conflict' when 3 then 'rejected_wrong_journal' when 4 then 'ambiguous_candidates' when 5 then 'authors_disagree' else 'recovered' end as verdict, case when k = 6 then 'B' else 'C' end as tier from p")
 def search_arm(t: Tables) -> DataFrame:
     k = F.col("id") % 7

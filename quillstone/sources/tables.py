@@ -61,9 +61,19 @@ def rest_scan(df: DataFrame, *, select: str, where: dict[str, str] | None = None
     return (df.limit(limit) if limit else df).select(*[x.strip() for x in select.split(",")])
 
 
-def write_csv(df: DataFrame, path: str, columns: Iterable[str] | None = None) -> None:
-    """CSV with a header; only the named columns, quotes doubled."""
-    df.select(*(columns or df.columns)).write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+BOM = "\ufeff"
+
+
+def write_csv(df: DataFrame, path: str, columns: Iterable[str] | None = None, *, bom: bool = False, order: list[str] | None = None) -> None:
+    """CSV with a header; only the named columns (those that there are), quotes doubled.
+
+    bom: each file begins with a byte order mark. order: rows in that order over all files.
+    """
+    names = [c for c in (columns or df.columns) if c in df.columns]
+    rows = (df.orderBy(*order) if order else df).select(*names)
+    if bom and names:
+        rows = rows.withColumnRenamed(names[0], BOM + names[0])
+    rows.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -80,12 +90,36 @@ def write_json(df: DataFrame, path: str, *, compress: bool = False, mode: str =
     df.write.mode(mode).option("compression", "gzip" if compress else "none").json(path)
 
 
-def export(spark: SparkSession, folder: str, named: dict[str, DataFrame], expected: dict[str, int]) -> dict[str, int]:
-    """Write each named frame as CSV and hold its number of records against what is expected."""
+class CountMismatch(ValueError):
+    pass
+
+
+def gate(name: str, count: int, expected: int | None) -> int:
+    """The count, if it is the one expected (or none is)."""
+    if expected is not None and count != expected:
+        raise CountMismatch(f"{name}: {count} records, {expected} expected")
+    return count
+
+
+def export(spark: SparkSession, folder: str, named: dict[str, DataFrame], expected: dict[str, int], *, order: dict[str, list[str]] | None = None) -> dict[str, int]:
+    """Write each named frame as CSV in its order, hold its records against what is expected, and write a manifest.
+
+    Records are counted from what was written, so a line feed in a field doesn't count.
+    """
     counts = {}
     for name, df in named.items():
-        write_csv(df, f"{folder}/{name}")
-        counts[name] = read_csv(spark, f"{folder}/{name}", df.schema).count()
-        if name in expected and expected[name] != counts[name]:
-            raise ValueError(f"{name}: {counts[name]} records, {expected[name]} expected")
+        write_csv(df, f"{folder}/{name}", order=(order or {}).get(name))
+        counts[name] = gate(name, read_csv(spark, f"{folder}/{name}", df.schema).count(), expected.get(name))
+    manifest = spark.createDataFrame([(n, c, f"{n}.csv") for n, c in counts.items()], "name string, records long, file string")
+    write_json(manifest, f"{folder}/manifest")
     return counts
+
+
+def read_cache(spark: SparkSession, path: str) -> DataFrame:
+    """(key, value) of a cache of gzipped JSON lines; where a key stands twice, one of its values."""
+    return read_json(spark, path, "key string, value string").dropDuplicates(["key"])
+
+
+def write_cache(cache: DataFrame, path: str, *, mode: str = "overwrite") -> None:
+    """A cache (key, value) as gzipped JSON lines; a null value, a key that wasn't found, is written too."""
+    cache.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value")).write.mode(mode).option("compression", "gzip").option("ignoreNullFields", False).json(path)

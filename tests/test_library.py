@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quillstone.functions import names
 from quillstone.functions import text as T
 from quillstone.operators import graph, linkage, quality, search
-from quillstone.plans.sql import NotReadOnly, guard, run_sql
+from quillstone.plans.sql import NotReadOnly, TooSlow, fetch_sql, guard, run_sql
 from quillstone.sources import tables
 from quillstone.streaming import incremental
 
@@ -140,6 +140,30 @@ def test_names_are_read_alike_in_columns_and_python(spark, name, want):
     assert (p and (p.surname, p.given)) == want
 
 
+def test_stems(spark):
+    cases = {"caresses": "caress", "ponies": "poni", "cats": "cat", "caress": "caress", "agreed": "agree", "feed": "feed", "plastered": "plaster", "bled": "bled", "motoring": "motor", "sing": "sing", "conflated": "conflate", "troubled": "trouble", "hopping": "hop", "falling": "fall", "happy": "happi", "sky": "sky"}
+    assert {w: search.stem_word(w) for w in cases} == cases
+    got = spark.createDataFrame([(w,) for w in cases], "w string").select("w", search.stem(F.col("w")).alias("s")).collect()
+    assert {r.w: r.s for r in got} == cases
+
+
+def test_release(spark, tmp_path):
+    df = spark.createDataFrame([(3, "c"), (1, "a\nb"), (2, 'q"x')], "id long, t string")
+    assert tables.export(spark, str(tmp_path), {"x": df}, {"x": 3}, order={"x": ["id"]}) == {"x": 3}
+    assert [r.id for r in tables.read_csv(spark, f"{tmp_path}/x", df.schema).collect()] == [1, 2, 3]
+    assert [tuple(r) for r in tables.read_json(spark, f"{tmp_path}/manifest", "name string, records long, file string").collect()] == [("x", 3, "x.csv")]
+    with pytest.raises(tables.CountMismatch):
+        tables.export(spark, str(tmp_path), {"x": df}, {"x": 4})
+    tables.write_csv(df, f"{tmp_path}/bom", ("id", "absent"), bom=True)
+    assert all(f.read_bytes().startswith(b"\xef\xbb\xbfid") for f in (tmp_path / "bom").glob("part-*.csv"))
+
+
+def test_cache(spark, tmp_path):
+    df = spark.createDataFrame([("a", "1"), ("b", None)], "key string, value string")
+    tables.write_cache(df, f"{tmp_path}/c")
+    assert list((tmp_path / "c").glob("*.gz")) and {tuple(r) for r in tables.read_cache(spark, f"{tmp_path}/c").collect()} == {("a", "1"), ("b", None)}
+
+
 def test_digits(spark):
     rows = [("Letter from the Editors (5)", "Letter from the Editors (7)", True), ("part 007", "Part 7", False), ("part 7", "part", False), ("1 2", "2 1", True)]
     assert [r.c for r in spark.createDataFrame(rows, "a string, b string, w boolean").select(T.digits_conflict(F.col("a"), F.col("b")).alias("c")).collect()] == [w for *_, w in rows]
@@ -153,6 +177,11 @@ def test_wilson(spark):
 def test_guard(spark):
     assert run_sql(spark, "select 1 as a").collect()[0].a == 1
     assert run_sql(spark, "select id from range(5000)").count() == 1000
+    assert len(fetch_sql(spark, "select id from range(5000)")) == 1000
+    with pytest.raises(TooSlow):
+        fetch_sql(spark, "select count(*) from range(100000000) a where hash(a.id) % 7 = (select max(b.id) from range(50000000) b where sha2(cast(b.id as string), 256) > 'a')", seconds=0.3)
+    with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
+        fetch_sql(spark, "select * from no_such_table")
     assert guard("select ';' as a") and guard("with x as (select 1) select * from x")
     for bad in ("drop table x", "select 1; select 2", "insert into t values (1)", "create view v as select 1"):
         with pytest.raises(NotReadOnly):
