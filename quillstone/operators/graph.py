@@ -11,16 +11,19 @@ def busy(members: DataFrame, least: int) -> DataFrame:
     return members.distinct().groupBy("member").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
 
 
+def pairs_within(members: DataFrame, item: str = "item", member: str = "member") -> DataFrame:
+    """(a, b) with a < b of the members of each item, which count once: gathered once, not joined with themselves.
+
+    An item's pairs are the square of its members by definition; an item is a short list, such as a byline.
+    """
+    sets = members.groupBy(item).agg(F.array_sort(F.collect_set(member)).alias("all"))
+    pairs = F.flatten(F.transform("all", lambda a, i: F.transform(F.slice(F.col("all"), i + 2, F.size("all")), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+    return sets.where(F.size("all") > 1).select(F.inline(pairs))
+
+
 def edges(members: DataFrame) -> DataFrame:
     """(a, b, w): pairs of members a < b that share items, and how many. Members count once an item."""
-    one = members.distinct()
-    return (
-        one.select("item", F.col("member").alias("a"))
-        .join(one.select("item", F.col("member").alias("b")), "item")
-        .where("a < b")
-        .groupBy("a", "b")
-        .agg(F.count(F.lit(1)).alias("w"))
-    )
+    return pairs_within(members).groupBy("a", "b").agg(F.count(F.lit(1)).alias("w"))
 
 
 def degrees(links: DataFrame) -> DataFrame:
@@ -70,9 +73,19 @@ def ramp(score, steps: int = 10):
 
 
 def numbered(found: DataFrame) -> DataFrame:
-    """Nodes with display numbers by (-n, member), from 0 and from 1."""
-    nth = F.row_number().over(Window.orderBy(F.desc("n"), "member"))
-    return found.withColumn("i", (nth - 1).cast("long")).withColumn("num", nth.cast("long"))
+    """Nodes with display numbers by (-n, member), from 0 and from 1.
+
+    Ranges of the order are numbered by themselves; how many rows stand before a range is a sum over a row a range.
+    """
+    from quillstone.plans.checkpoint import checkpoint
+
+    order = [F.desc("n"), F.asc("member")]
+    ranged = checkpoint(found.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()))
+    nth = ranged.withColumn("__nth", F.row_number().over(Window.partitionBy("__range").orderBy(*order)))
+    sizes = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__size"))
+    before = sizes.select("__range", F.coalesce(F.sum("__size").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    placed = nth.join(before, "__range").withColumn("i", (F.col("__before") + F.col("__nth") - 1).cast("long"))
+    return placed.withColumn("num", F.col("i") + 1).drop("__range", "__nth", "__before")
 
 
 def remapped(links: DataFrame, numbers: DataFrame) -> DataFrame:

@@ -860,7 +860,7 @@ def mapping(t: Tables) -> DataFrame:
 
 # Graph.
 
-_MEMBERS = "m as (select distinct o_orderkey item, l_partkey member from lineitem join orders on o_orderkey = l_orderkey where year(o_orderdate) = 1995 and o_orderpriority = '1-URGENT')"
+_MEMBERS = "m as (select distinct l_orderkey item, l_partkey member from lineitem)"
 _EDGES = "e as (select x.member a, y.member b, count(*) w from m x join m y on x.item = y.item and x.member < y.member group by 1, 2)"
 _KEPT = "b as (select member from m group by 1 having count(*) >= 2), mb as (select * from m where member in (select member from b)), e0 as (select x.member a, y.member b, count(*) w from mb x join mb y on x.item = y.item and x.member < y.member group by 1, 2)"
 
@@ -874,8 +874,7 @@ def _core_sql(least: int, rounds: int) -> str:
 
 
 def _members(t: Tables) -> DataFrame:
-    orders = t.orders.where("year(o_orderdate) = 1995 and o_orderpriority = '1-URGENT'").select("o_orderkey")
-    return t.lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("o_orderkey").alias("item"), F.col("l_partkey").alias("member")).distinct()
+    return t.lineitem.select(F.col("l_orderkey").alias("item"), F.col("l_partkey").alias("member")).distinct()
 
 
 @frame("G1_edges", f"with {_MEMBERS}, {_EDGES} select a, b, w from e")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillstone.operators.graph import pairs_within
 from quillstone.queries.base import frame, over, view
 from quillstone.sources.tables import Tables
 
@@ -31,13 +32,6 @@ def names_in_order(links: DataFrame, authors: DataFrame, mark: str) -> DataFrame
     return ordered.select("paper_id", F.array_join("byline.name", mark).alias("names"))
 
 
-def pairs_within(members: DataFrame, item: str, member: str) -> DataFrame:
-    """(a, b) with a < b of the members of each item: an item's members are gathered once, not joined with themselves."""
-    sets = members.groupBy(item).agg(F.array_sort(F.collect_set(member)).alias("all"))
-    pairs = F.flatten(F.transform("all", lambda a, i: F.transform(F.slice(F.col("all"), i + 2, F.size("all")), lambda b: F.struct(a.alias("a"), b.alias("b")))))
-    return sets.where(F.size("all") > 1).select(F.inline(pairs))
-
-
 @frame("Q1_author_publication_stats", over("""
     with links as (select author_id, paper_id, max(case when position = 1 then 1 else 0 end) first_one, max(case when is_corresponding then 1 else 0 end) corr from paper_authors group by author_id, paper_id),
     sums as (select author_id, count(*) n, sum(first_one) f, sum(corr) c from links group by author_id)
