@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,3 +72,24 @@ def columns_of(df: DataFrame) -> list[Column]:
 def unpack(df: DataFrame, row: str = "row") -> DataFrame:
     """The columns that were packed into the struct ``row``."""
     return df.select(f"{row}.*")
+
+
+def release() -> None:
+    """Give memory that is free back to the system: a worker process outlives its task, and an executor has several."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def trimmed(run: Callable) -> Callable:
+    """A function of batches that releases memory once it has gone through its partition."""
+
+    @functools.wraps(run)
+    def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return whole

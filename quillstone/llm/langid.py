@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillstone.llm.common import columns_of, trimmed, unpack
+
 BUCKETS = 1 << 16
 #: Numbers in a model at most (64 MB), labels times buckets; and of those that are worked on at a time.
 MODEL = 1 << 24
@@ -242,7 +244,7 @@ def classify(rows: DataFrame, text: Column, model: Model | None) -> DataFrame:
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), "lang_pred string, score double, languages array<string>"])
     shared = spark.sparkContext.broadcast(model)
     names = [*rows.columns, "lang_pred", "score", "languages"]
-    return rows.withColumn("__text", text).mapInArrow(_classify(shared, rows.columns, names), schema)
+    return rows.withColumn("__text", text).mapInArrow(trimmed(_classify(shared, rows.columns, names)), schema)
 
 
 def held_out() -> Column:
@@ -258,8 +260,6 @@ def identify(docs: DataFrame, *, per_lang: int = PER_LANG) -> DataFrame:
 
 def known_language(docs: DataFrame, *, per_lang: int = PER_LANG) -> DataFrame:
     """docs without those whose language is unknown: null texts and texts without a letter."""
-    from quillstone.llm.common import columns_of, unpack
-
     model = learn(docs.where(~held_out()), per_lang=per_lang)
     found = classify(docs.select(F.struct(*columns_of(docs)).alias("row")), F.col("row.text"), model)
     return unpack(found.where(F.col("lang_pred") != UNKNOWN).select("row"))

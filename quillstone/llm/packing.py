@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import checkpoint, tabled
+from quillstone.llm.common import checkpoint, tabled, trimmed
 from quillstone.llm.tokens import encoder
 
 LENGTH = 4096
@@ -172,6 +172,7 @@ def _pack(path: str, length: int, grain: int, end_id: int, id_type: pa.DataType)
             if out:
                 yield batch()
         finish()
+        encoder(path).forget()
         if out:
             yield batch()
 
@@ -217,7 +218,7 @@ def pack(docs: DataFrame, *, tokenizer: str, weights: dict | None = None, length
     body = rows.select(part(F.pmod("draw", F.lit(BINS))).alias("part"), F.lit(1).alias("kind"), "draw", "source", "doc_id", "text", F.lit(None).cast("double").alias("share"), F.lit(None).cast("double").alias("deficit"), F.lit(None).cast("long").alias("bytes"))
     dealt = heads.unionByName(body).repartition("part").sortWithinPartitions("part", "kind", "draw", "doc_id", "source")
     schema = f"doc_id {id_type.simpleString()}, source string, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
-    return dealt.select("part", "source", "doc_id", "text", "share", "deficit", "bytes").mapInArrow(_pack(tokenizer, length, grain, end_id, to_arrow_type(id_type)), schema)
+    return dealt.select("part", "source", "doc_id", "text", "share", "deficit", "bytes").mapInArrow(trimmed(_pack(tokenizer, length, grain, end_id, to_arrow_type(id_type))), schema)
 
 
 def with_checksums(pieces: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import checkpoint, columns_of, unpack
+from quillstone.llm.common import checkpoint, columns_of, trimmed, unpack
 from quillstone.llm.components import components
 
 SHINGLE = 3
@@ -92,7 +92,7 @@ def _fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, fp) of every row; fp holds the 64 bits."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(_fingerprints, f"doc_id {id_type}, text_hash long, fp long")
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(trimmed(_fingerprints), f"doc_id {id_type}, text_hash long, fp long")
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:

@@ -10,7 +10,7 @@ probability of (1 - 0.8^4)^32 < 5e-8, and a more similar one with less. Every li
 
 First each set is compared with the least set of each of its bands, so that a band that many share makes
 no pairs. Where a band's sets don't all end up in one group, all of them that are in different groups are
-compared: such bands hang together in residues, which are cut into blocks of about ``BLOCK`` shingles, and a
+compared: such bands with one least set are a residue, which is cut into blocks of about ``BLOCK`` shingles, and a
 task has two blocks of one residue. There, sets go by the prefixes of their rarest shingles.
 
 Defined results: a null text has no words, and all texts without words are copies of each other. A text
@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import checkpoint, tabled
+from quillstone.llm.common import checkpoint, tabled, trimmed
 from quillstone.llm.components import components
 from quillstone.llm.simhash import MAX_BITS, SPAN, Forest, key_columns, majority, near_links, one_of_each, shingle_hashes
 
@@ -94,7 +94,7 @@ def _marks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def marks(docs: DataFrame) -> DataFrame:
     """(no_id, an_id, text_hash, set_id, size, fp, bands) of every row."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select(*key_columns(docs), "text").mapInArrow(_marks, f"no_id boolean, an_id {id_type}, text_hash long, set_id long, size long, fp long, bands array<long>")
+    return docs.select(*key_columns(docs), "text").mapInArrow(trimmed(_marks), f"no_id boolean, an_id {id_type}, text_hash long, set_id long, size long, fp long, bands array<long>")
 
 
 def similar_enough(x: np.ndarray, y: np.ndarray, similarity: float = SIMILARITY) -> bool:
@@ -190,22 +190,21 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     wanted = sets.join(nodes, "set_id").select("set_id", "size", "key.*")
     texts = tabled(docs.select(*key_columns(docs), "text").join(wanted, ["no_id", "an_id", "text_hash"]).groupBy("set_id").agg(F.first("size").alias("size"), F.first("text").alias("text")))
     both = pairs.join(texts.select(F.col("set_id").alias("u"), "text"), "u").join(texts.select(F.col("set_id").alias("v"), F.col("text").alias("v_text")), "v")
-    links = checkpoint(both.select("u", "v", "text", "v_text").mapInArrow(_confirm, "u long, v long"))
+    links = checkpoint(both.select("u", "v", "text", "v_text").mapInArrow(trimmed(_confirm), "u long, v long"))
     labels = components(links)
     left = dealt.join(texts.select("set_id"), "set_id").join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").select("set_id", "band", F.coalesce("root", "set_id").alias("label"))
-    open_bands = left.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("band")
-    open_sets = checkpoint(left.join(open_bands, "band"))
+    open_bands = left.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.min("set_id").alias("root")).where("a < b").select("band", "root")
+    open_sets = checkpoint(left.join(open_bands, "band").select("root", "set_id", "label").distinct())
     more = residue_links(open_sets, texts) if not open_sets.isEmpty() else None
     groups = components(links if more is None else links.unionByName(more)).select(F.col("node").alias("set_id"), "root")
     return marked.join(groups, "set_id", "left").select("no_id", "an_id", "text_hash", F.coalesce("root", "set_id").alias("root"))
 
 
 def residue_links(open_sets: DataFrame, texts: DataFrame) -> DataFrame:
-    """(u, v): links between sets (set_id, band, label) of different labels, by blocks of what hangs together."""
-    residues = components(band_links(open_sets)).select(F.col("node").alias("set_id"), F.col("root"))
-    held = residues.join(open_sets.select("set_id", "label").distinct(), "set_id").join(texts, "set_id")
+    """(u, v): links between sets (root, set_id, label) of one root and different labels, by blocks."""
+    held = open_sets.join(texts, "set_id")
     blocks = held.groupBy("root").agg(F.expr(f"cast(ceil(sum(size) / {BLOCK}) as int)").alias("blocks"))
     block = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
     spread = held.join(blocks, "root").withColumn("block", block).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     tasks = spread.select("root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "set_id", "label", "text")
-    return tasks.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high").mapInArrow(_residues, "u long, v long")
+    return tasks.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high").mapInArrow(trimmed(_residues), "u long, v long")

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import checkpoint, columns_of, unpack
+from quillstone.llm.common import checkpoint, columns_of, trimmed, unpack
 
 #: Words that a repeat must exceed.
 MORE_THAN = 50
@@ -188,7 +188,7 @@ def units(docs: DataFrame) -> DataFrame:
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"no_id boolean, an_id {id_type}, twin int, " + ", ".join(f"{c} long" for c in _UNIT)
-    return docs.select(*key_columns(docs), "text").mapInArrow(_units, schema)
+    return docs.select(*key_columns(docs), "text").mapInArrow(trimmed(_units), schema)
 
 
 _CLUSTER = ["first", "last", "shift", "c0", "c1", "k_c0", "k_c1"]

@@ -22,7 +22,7 @@ _NUMBERS = "0-9²³¹¼½¾"
 _WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}ß]+|[{_NUMBERS}]|[^\s{_LETTERS}ß{_NUMBERS}]+")
 _OUTSIDE = re.compile("[^\t\n\x0b\x0c\r\x20-\x7e\xa1-įı-ɏ]")
 #: Words kept in the cache: a bound on memory.
-CACHE = 120_000
+CACHE = 400_000
 
 
 def _byte_letters() -> dict[str, int]:
@@ -95,6 +95,11 @@ class Encoder:
         return [b"".join(map(get, x)) if isinstance(x, list) else x for x in out]
 
 
+    def forget(self) -> None:
+        """Empty the cache; words recur within a partition, and what another partition learned saves it next to nothing."""
+        self.cache = {}
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
