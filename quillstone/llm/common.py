@@ -26,24 +26,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the session names in ``spark.checkpoint.dir``.
 
-    Only where that is unset, and only on a local master, a temporary folder takes its place.
+    Only where that is unset, and only on a local master, a temporary folder takes its place, once a session.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        sc = spark.sparkContext
-        if not sc._jsc.sc().getCheckpointDir().isEmpty():
-            return sc._jsc.sc().getCheckpointDir().get()
-        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+    sc = spark.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="checkpoint-")
-    return folder
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
+    return sc._jsc.sc().getCheckpointDir().get()
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(shared_folder(df.sparkSession))
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -7,8 +7,8 @@ shards of a source by their sizes. In a shard, documents stand in a seeded order
 words; its quota makes whole rounds over the stream plus a run of blocks from a seeded start, round the end, so
 that few documents are cut. What a document gives is what its part of the stream holds of the rounds and blocks.
 
-Shards are bounded: about ``SHARD_WORDS`` words, and at most ``MOST_SHARDS`` a source, so a hot source
-is many shards. The quotients of a window that gets all remaining seats are computed by a divisor that
+Shards have about ``SHARD_WORDS`` words, so a hot source is many shards: up to ``MOST_SHARDS``, beyond which (some
+2^33 words a source) they grow with it. A shard's stream is sorted, not held. The quotients of a window that gets all remaining seats are computed by a divisor that
 leaves at most one seat a party, not one by one.
 
 Defined results: a null text has size 0 and gives nothing. A null source is a source, sorted last.

@@ -236,6 +236,63 @@ def test_mix_of_many_shards(spark, monkeypatch):
         assert abs(taken[s] - t) < 0.03 * t
 
 
+def brute_mix(df, block=mixing.BLOCK, seed=mixing.SEED):
+    """taken of each row: all quotients one by one, every block of every shard looked at. Only the hashes are Spark's."""
+    rows = df.select("doc_id", "source", "text", F.xxhash64(F.lit(seed), "doc_id", "text").alias("draw")).collect()
+    size = lambda r: len(fx.WORD.findall(r.text or ""))
+    of_source = Counter()
+    for r in rows:
+        of_source[r.source] += size(r)
+    target = water_fill(of_source)
+    order = lambda s: (s is not None, s or "")
+    seats = round(sum(target.values()) / block)
+
+    def quotients(parties, n):
+        """Seats by the n highest; among equals the first party, null last."""
+        won = dict.fromkeys(parties, 0)
+        for _ in range(n):
+            best = min((p for p in parties if parties[p] > 0), key=lambda p: (-parties[p] / (2 * won[p] + 1), p is None, p if p is not None else 0))
+            won[best] += 1
+        return won
+
+    blocks = quotients(target, seats)
+    taken = Counter()
+    for s in sorted(of_source, key=order):
+        n_shards = max(1, min(mixing.MOST_SHARDS, -(-of_source[s] // mixing.SHARD_WORDS)))
+        shards = defaultdict(list)
+        for i, r in enumerate(rows):
+            if r.source == s:
+                shards[r.draw % mixing.MOST_SHARDS % n_shards].append((r.draw, size(r), i))
+        words = {k: sum(n for _, n, _ in v) for k, v in shards.items()}
+        quota = quotients(words, blocks[s]) if any(words.values()) else dict.fromkeys(words, 0)
+        key = "" if s is None else f"={s}"
+        starts = {r.shard: r.h for r in df.sparkSession.createDataFrame([(key, k) for k in shards], "key string, shard int").select("shard", F.xxhash64(F.lit(seed), "key", "shard").alias("h")).collect()}
+        for k, docs in shards.items():
+            if not words[k]:
+                continue
+            given = min(quota[k] * block, words[k] * mixing.MOST)
+            n_blocks = -(-words[k] // block)
+            rounds = given // words[k]
+            chosen = int((given - rounds * words[k]) * n_blocks / words[k] + 0.5)
+            start = starts[k] % n_blocks
+            picked = [(b - start) % n_blocks < chosen for b in range(n_blocks)]
+            at = 0
+            for _, n, i in sorted(docs):
+                taken[i] += n * rounds + sum(picked[w // block] for w in range(at, at + n))
+                at += n
+    return Counter((r.doc_id, taken[i]) for i, r in enumerate(rows))
+
+
+@pytest.mark.parametrize("shard_words", [mixing.SHARD_WORDS, 300])
+def test_mix_against_brute_force(spark, odd, monkeypatch, shard_words):
+    monkeypatch.setattr(mixing, "SHARD_WORDS", shard_words)
+    rng = random.Random(21)
+    rows = [(i, None if i % 50 == 0 else " ".join("w" for _ in range(rng.randint(0, 120))), rng.choice(["a", "a", "a", "b", "c", "d", None])) for i in range(400)]
+    for df in (spark.createDataFrame(rows, "doc_id long, text string, source string"), *([odd] if shard_words > 1000 else [])):
+        got = Counter((r.doc_id, r.taken) for r in mixing.mix(df).select("row.doc_id", "taken").collect())
+        assert got == brute_mix(df)
+
+
 def test_mix_empty(spark):
     empty = spark.createDataFrame([], fx.SCHEMA)
     assert mixing.mix(empty).collect() == [] and mixing.mixed_documents(empty).collect() == []
