@@ -134,6 +134,14 @@ def registry_search(t: Tables) -> DataFrame:
     return linkage.registry_search(ours, theirs, within=(F.col("issn") == F.col("c_issn")) & (F.abs(F.col("year") - F.col("c_year")) <= 1), sim=F.round(T.levenshtein_sim(F.col("x"), F.col("y")), 6))
 
 
+@frame("I4_progress", "select 4 as reports, count(*) as worked from nation")
+def progress(t: Tables) -> DataFrame:
+    """Work in three batches, after a first report; each tells how many rows are done."""
+    path, heard = scratch(t.spark, "work"), []
+    done = incremental.in_batches(t.nation.select("n_nationkey"), path, lambda df: df.withColumn("name", F.upper(F.col("n_nationkey").cast("string"))), ["n_nationkey"], batches=3, report=heard.append)
+    return done.agg(F.lit(len(heard)).alias("reports"), F.count(F.lit(1)).alias("worked"))
+
+
 @frame("X25_today")
 def today(t: Tables) -> DataFrame:
     """The current time, to the day; it has no SQL since it isn't the same twice."""

@@ -2,12 +2,32 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+@dataclass(frozen=True)
+class Progress:
+    """How far work is: rows done of all, and the seconds that those took."""
+
+    done: int
+    total: int
+    seconds: float
+
+    @property
+    def rate(self) -> float:
+        return self.done / self.seconds if self.seconds > 0 else 0.0
+
+    @property
+    def eta(self) -> float | None:
+        """Seconds that the rest will take at this rate; unknown before anything is done."""
+        return (self.total - self.done) / self.rate if self.rate else (0.0 if self.done >= self.total else None)
+
+
 def pending(todo: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of todo without a result."""
     return todo.join(done.select(*keys), keys, "left_anti")
@@ -25,6 +45,28 @@ def resume(todo: DataFrame, done: DataFrame, work: Callable[[DataFrame], DataFra
     return append(valid, new if version is None else new.withColumn("version", F.lit(version)), keys)
 
 
+def in_batches(todo: DataFrame, path: str, work: Callable[[DataFrame], DataFrame], keys: list[str], *, batches: int, report: Callable[[Progress], None]) -> DataFrame:
+    """Results (with keys) of work, written to path batch by batch; report hears after each how far it is.
+
+    What path has already isn't worked on again, so a run that was stopped goes on where it was. Batches are
+    dealt by a hash of the keys.
+    """
+    spark = todo.sparkSession
+    schema = work(todo.limit(0)).schema
+    spark.createDataFrame([], schema).write.mode("append").parquet(path)
+    rest = pending(todo, spark.read.schema(schema).parquet(path), keys)
+    total, began, done = rest.count(), time.monotonic(), 0
+    report(Progress(0, total, 0.0))
+    for i in range(batches):
+        part = pending(todo, spark.read.schema(schema).parquet(path), keys).where(F.pmod(F.xxhash64(*keys), F.lit(batches)) == i)
+        n = part.count()
+        if n:
+            work(part).write.mode("append").parquet(path)
+        done += n
+        report(Progress(done, total, time.monotonic() - began))
+    return spark.read.schema(schema).parquet(path)
+
+
 def lookup(keys: DataFrame, cache: DataFrame, fetch: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
     """(answers, cache): keys (key) answered from a cache (key, value), the missing ones fetched.
 

@@ -164,6 +164,19 @@ def test_cache(spark, tmp_path):
     assert list((tmp_path / "c").glob("*.gz")) and {tuple(r) for r in tables.read_cache(spark, f"{tmp_path}/c").collect()} == {("a", "1"), ("b", None)}
 
 
+def test_progress(spark, tmp_path):
+    todo, heard = spark.range(50).select("id"), []
+    work = lambda df: df.withColumn("twice", F.col("id") * 2)
+    out = incremental.in_batches(todo, f"{tmp_path}/w", work, ["id"], batches=4, report=heard.append)
+    assert {(r.id, r.twice) for r in out.collect()} == {(i, 2 * i) for i in range(50)}
+    assert [p.total for p in heard] == [50] * 5 and heard[-1].done == 50 and heard[-1].eta == 0 and heard[0].eta is None
+    assert sorted(p.done for p in heard) == [p.done for p in heard]
+    again = []
+    assert incremental.in_batches(spark.range(60).select("id"), f"{tmp_path}/w", work, ["id"], batches=4, report=again.append).count() == 60
+    assert again[0].total == 10 and again[-1].done == 10
+    assert incremental.Progress(10, 40, 5.0).eta == 15.0
+
+
 def test_digits(spark):
     rows = [("Letter from the Editors (5)", "Letter from the Editors (7)", True), ("part 007", "Part 7", False), ("part 7", "part", False), ("1 2", "2 1", True)]
     assert [r.c for r in spark.createDataFrame(rows, "a string, b string, w boolean").select(T.digits_conflict(F.col("a"), F.col("b")).alias("c")).collect()] == [w for *_, w in rows]
