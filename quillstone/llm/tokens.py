@@ -90,7 +90,7 @@ class Encoder:
         if len(self.cache) + len(new) > CACHE:
             self.cache, new = {}, set().union(*known)
         if new:
-            self._learn(sorted(new))
+            self._learn(list(new))
         get = self.cache.__getitem__
         return [b"".join(map(get, x)) if isinstance(x, list) else x for x in out]
 
