@@ -294,7 +294,7 @@ def spans(docs: DataFrame, *, more_than: int = MORE_THAN) -> DataFrame:
     keys = f"no_id boolean, an_id {id_type}, twin int, k_no_id boolean, k_an_id {id_type}, k_twin int"
     # A slice that can't be null leaves both readers of the units with one and the same exchange.
     cell = ["digest", "slice"]
-    dealt = units(docs).withColumn("slice", F.coalesce(F.pmod("twin", F.lit(SLICES)), F.lit(0))).repartition(*cell)
+    dealt = units(docs).withColumn("slice", F.coalesce(F.pmod(F.xxhash64("an_id", "twin"), F.lit(SLICES)).cast("int"), F.lit(0))).repartition(*cell)
     here = F.struct(*KEY, "place", "window")
     heads = dealt.groupBy(*cell).agg(F.min(here).alias("k"), F.count(F.lit(1)).alias("many"))
     over = Window.partitionBy("digest")
