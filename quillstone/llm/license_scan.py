@@ -31,7 +31,7 @@ THRESHOLD = 0.8
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+", -1), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+", -1), "")
 
 
 def bigrams(tokens: Column) -> Column:
