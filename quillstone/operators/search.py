@@ -20,7 +20,7 @@ STATEMENTS = 1000
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
 def tokens(docs: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
@@ -117,7 +117,7 @@ def matches(w: Column, query: Query) -> Column:
 
 
 def occurrences(w: Column, term: str) -> Column:
-    return F.size(F.filter(w, lambda x: x == term))
+    return F.size(w) - F.size(F.array_remove(w, term))
 
 
 def likely(text: Column, query: Query) -> Column:
