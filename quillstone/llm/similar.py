@@ -37,7 +37,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 32
 ROWS = 4
-BLOCK = 1 << 16
+BLOCK = 1 << 18
 _DRAWN = np.random.default_rng(5).integers(0, 1 << 64, (3, BANDS * ROWS), dtype=np.uint64)
 _TIMES, _PLUS, _MIX = _DRAWN[0] | np.uint64(1), _DRAWN[1], _DRAWN[2] | np.uint64(1)
 
