@@ -1,6 +1,7 @@
 """Every query with SQL of its own gives the same rows in both engines."""
 
 import math
+import re
 
 import duckdb
 import pytest
@@ -50,3 +51,22 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_title_ratios_row_by_row(spark, duck):
+    """What SQL has no measure for, against the standard library."""
+    from difflib import SequenceMatcher
+
+    names = dict(duck.execute("select p_partkey, p_name from part").fetchall())
+    plain = {k: " ".join(re.sub("[^a-z0-9]+", " ", v.lower()).split()) for k, v in names.items()}
+
+    def sim(a, b):
+        if a == b or not a or not b:
+            return float(a == b and a != "")
+        if a.startswith(b) or b.startswith(a):
+            return max(0.75, min(0.97, min(len(a), len(b)) / max(len(a), len(b))))
+        return SequenceMatcher(None, a, b).ratio()
+
+    got = {r.id: r.sim for r in catalog.queries()["X8_title_sim_ratio"](spark, FOLDER).collect()}
+    assert got.keys() == {k for k in names if k + 1 in names}
+    assert all(math.isclose(s, sim(plain[k], plain[k + 1]), abs_tol=1e-6) for k, s in got.items())
