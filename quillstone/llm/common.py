@@ -51,6 +51,23 @@ def tabled(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+#: Bits of a Bloom filter: 8 MB, however many rows it stands for.
+BITS = 1 << 26
+
+
+def perhaps(rows: DataFrame, wanted: DataFrame, key: list[str]) -> DataFrame:
+    """Those of rows whose key may be in wanted, by a Bloom filter of ``BITS`` bits, which is all that is broadcast.
+
+    It leaves out most others as long as wanted has far fewer rows than bits, and none if it has more.
+    """
+    bit = F.pmod(F.xxhash64(*key), F.lit(BITS)).cast("long")
+    bits = wanted.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("__part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("__bits"))
+    held = rows.withColumn("__bit", bit).join(F.broadcast(bits), F.bitmap_bucket_number("__bit") == F.col("__part"))
+    place = F.bitmap_bit_position("__bit").cast("int")
+    byte = F.conv(F.hex(F.substring("__bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return held.where(F.getbit(byte, place % 8) == 1).drop("__bit", "__part", "__bits")
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased and nothing else.
 

@@ -7,7 +7,7 @@ Four bases make the 124-bit fingerprint.
 
 Texts of equal fingerprint and length are then compared with the one of the largest doc_id, the leader, as
 streams of chunks, so a collision can never merge two texts; those that differ from their leader get a
-leader of their own, until none differs. Only suspects' texts are shuffled: a Bloom filter of a fixed ``BITS`` bits
+leader of their own, until none differs. Only suspects' texts are shuffled: a Bloom filter of fixed size
 leaves out the others (where suspects are so many that it fills up, it lets more pass, and the result is the same).
 
 A group of copies is spread over ``SLICES`` tasks where it is counted, and cut into salts of
@@ -27,12 +27,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import checkpoint, tabled
+from quillstone.llm.common import checkpoint, perhaps, tabled
 
 CHUNK = 1 << 16
 SALT_ROWS = 96
 SLICES = 64
-BITS = 1 << 26
 #: The prime and the four bases.
 PRIME = (1 << 31) - 1
 BASES = (1103515245, 1220703125, 1664525021, 1812433253)
@@ -136,20 +135,6 @@ def grouped(marks: DataFrame, by: list[str]) -> DataFrame:
     return dealt.join(whole, cell).drop("slice")
 
 
-def _bit(*of: str) -> Column:
-    return F.pmod(F.xxhash64(*of), F.lit(BITS)).cast("long")
-
-
-def _perhaps(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Those of rows whose ROW may be in wanted, by a Bloom filter of ``BITS`` bits, which is all that is broadcast."""
-    bits = wanted.select(_bit(*ROW).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
-    bit = _bit(*ROW)
-    held = rows.withColumn("__bit", bit).join(F.broadcast(bits), F.bitmap_bucket_number("__bit") == F.col("part"))
-    place = F.bitmap_bit_position("__bit").cast("int")
-    byte = F.conv(F.hex(F.substring("bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return held.where(F.getbit(byte, place % 8) == 1).drop("__bit", "part", "bits")
-
-
 def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Streams of chunks sorted by salt, chunk and role, the leader's first; yields the rows that differ from it."""
     at, leader = None, b""
@@ -171,7 +156,7 @@ def differing(docs: DataFrame, marks: DataFrame) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
     by = [*KEY, "class"]
     suspects = tabled(grouped(marks, by).where("members > 1").select(*ROW, *KEY, "class", "leader", F.expr(f"cast((members + {SALT_ROWS - 1}) div {SALT_ROWS} as int)").alias("salts")))
-    texts = _perhaps(_bytes(docs).drop("n_bytes"), suspects)
+    texts = perhaps(_bytes(docs).drop("n_bytes"), suspects, ROW)
     found = texts.join(suspects, ROW)
     leads = F.struct((~F.col("no_id")).alias("has_id"), "an_id", "sha") == F.col("leader")
     salt = F.pmod(F.xxhash64(*ROW), F.col("salts")).cast("int")

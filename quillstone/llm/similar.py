@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import checkpoint, tabled, trimmed
+from quillstone.llm.common import checkpoint, perhaps, tabled, trimmed
 from quillstone.llm.components import components
 from quillstone.llm.simhash import MAX_BITS, SPAN, Forest, key_columns, majority, near_links, one_of_each, shingle_hashes
 
@@ -164,10 +164,11 @@ def _residues(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def band_links(dealt: DataFrame) -> DataFrame:
-    """(u, v): from (set_id, band) a link from each set to the least one that shares a band."""
-    least = dealt.groupBy("band").agg(F.min("set_id").alias("v"), F.max("set_id").alias("most")).where("v < most").select("band", "v")
-    return dealt.join(least, "band").where("set_id != v").select(F.col("set_id").alias("u"), "v")
+def shared_bands(sets: DataFrame) -> DataFrame:
+    """(set_id, band, least): of the bands of sets (set_id, bands) those that several sets have, with the least set of each."""
+    dealt = sets.select("set_id", F.explode("bands").alias("band"))
+    least = dealt.groupBy("band").agg(F.min("set_id").alias("least"), F.max("set_id").alias("most")).where("least < most").select("band", "least")
+    return dealt.join(least, "band")
 
 
 def print_links(sets: DataFrame) -> DataFrame:
@@ -183,17 +184,19 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     """(no_id, an_id, text_hash, root) of every row; root tells groups apart."""
     marked = checkpoint(marks(docs))
     sets = tabled(marked.groupBy("set_id").agg(F.min(F.struct("no_id", "an_id", "text_hash")).alias("key"), F.first("size").alias("size"), F.first("fp").alias("fp"), F.first("bands").alias("bands")))
-    dealt = tabled(sets.where("size > 0").select("set_id", F.explode("bands").alias("band")))
-    pairs = band_links(dealt).unionByName(print_links(sets.where("size > 0").select("set_id", "fp")))
+    shared = tabled(shared_bands(sets.where("size > 0")))
+    by_band = shared.where("set_id != least").select(F.col("set_id").alias("u"), F.col("least").alias("v"))
+    pairs = by_band.unionByName(print_links(sets.where("size > 0").select("set_id", "fp")))
     pairs = tabled(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct())
     nodes = pairs.select(F.explode(F.array("u", "v")).alias("set_id")).distinct()
-    wanted = sets.join(nodes, "set_id").select("set_id", "size", "key.*")
-    texts = tabled(docs.select(*key_columns(docs), "text").join(wanted, ["no_id", "an_id", "text_hash"]).groupBy("set_id").agg(F.first("size").alias("size"), F.first("text").alias("text")))
+    key = ["no_id", "an_id", "text_hash"]
+    wanted = tabled(sets.select("set_id", "size", "key").join(nodes, "set_id").select("set_id", "size", "key.*"))
+    texts = tabled(perhaps(docs.select(*key_columns(docs), "text"), wanted, key).join(wanted, key).groupBy("set_id").agg(F.first("size").alias("size"), F.first("text").alias("text")))
     both = pairs.join(texts.select(F.col("set_id").alias("u"), "text"), "u").join(texts.select(F.col("set_id").alias("v"), F.col("text").alias("v_text")), "v")
     links = checkpoint(both.select("u", "v", "text", "v_text").mapInArrow(trimmed(_confirm), "u long, v long"))
     labels = components(links)
-    left = dealt.join(texts.select("set_id"), "set_id").join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").select("set_id", "band", F.coalesce("root", "set_id").alias("label"))
-    open_bands = left.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.min("set_id").alias("root")).where("a < b").select("band", "root")
+    left = shared.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").select("set_id", "band", F.col("least").alias("root"), F.coalesce("root", "set_id").alias("label"))
+    open_bands = left.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("band")
     open_sets = checkpoint(left.join(open_bands, "band").select("root", "set_id", "label").distinct())
     more = residue_links(open_sets, texts) if not open_sets.isEmpty() else None
     groups = components(links if more is None else links.unionByName(more)).select(F.col("node").alias("set_id"), "root")
