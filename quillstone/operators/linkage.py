@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,15 +63,41 @@ def best_candidate(pairs: DataFrame, *, sim: str, author: str, eligible: Column,
     return top.withColumn("verdict", verdict).withColumn("tier", F.when(F.col("verdict") == "recovered", "B").otherwise("C")).drop("__n", "__sim2", "__author2", "__ok2", "__ok")
 
 
-def registry_search(records: DataFrame, registry: DataFrame, *, within: Column, sim: Column, k: int = 5) -> DataFrame:
-    """(id, candidate, sim): the k registry entries most like each record, of those that the filter ``within`` leaves.
+def registry_search(records: DataFrame, registry: DataFrame, *, same: list[str], band: str, width: int, text: str, sim: Callable[[Column, Column], Column], k: int = 5) -> DataFrame:
+    """(id, candidate, sim): the k registry entries most like each record in ``text``, ties to the smaller candidate.
+
+    Candidates have other ids, are equal in ``same``, and differ by ``width`` at most in ``band``, a whole number. records have
+    id, registry has candidate, both have those columns. sim of two texts is 1 for equal ones and less for others.
 
-    records have id, registry has candidate; within names columns of both and should hold an equality, so that
-    the join is by key.
+    Rows that agree in all of these columns have the same candidates but for themselves. So texts are compared once for two
+    classes of rows, and of a class only its first ids stand for it: as many as can be among the best of any row. Where a
+    text is in the band often enough, no other text is compared with it.
     """
+    near = [*same, band]
+    whole = lambda rows, key: rows.select(key, *same, F.col(band).cast("long").alias(band), text).dropna(subset=[key, *near])
+    records, registry = whole(records, "id"), whole(registry, "candidate")
+    # A record leaves out its own id, which can be on so many rows.
+    keep = k + (registry.groupBy("candidate").count().agg(F.max("count")).first()[0] or 0)
+
+    def first(rows: DataFrame, by: list[str], *order) -> DataFrame:
+        return rows.withColumn("__n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("__n") <= keep).drop("__n")
+
+    spread = first(registry, [*near, text], "candidate").withColumn(band, F.explode(F.sequence(F.col(band) - width, F.col(band) + width)))
+    within = first(spread, [*near, text], "candidate").groupBy(*near, text).agg(F.sort_array(F.collect_list("candidate")).alias("__ids")).withColumnRenamed(text, "__text")
+    asked = records.select(*near, text).distinct()
+    on = lambda a, b: reduce(lambda x, y: x & y, [a[c] == b[c] for c in near])
+    own = asked.join(within, on(asked, within) & asked[text].eqNullSafe(within["__text"]), "left").select(*[asked[c] for c in near], asked[text], "__ids")
+    # Of texts this long, equal and almost equal ones could have the same rounded measure.
+    enough = F.coalesce((F.size("__ids") >= keep) & (F.char_length(text) < 1_000_000), F.lit(False))
+    alone = own.where(enough).select(*near, text, sim(F.col(text), F.col(text)).alias("sim"), F.explode("__ids").alias("candidate"))
+    rest = own.where(~enough).drop("__ids")
+    scored = rest.join(within, near).select(*near, text, sim(F.col(text), F.col("__text")).alias("sim"), "__ids")
+    ids = first(scored, [*near, text], F.desc("sim"), F.col("__ids")[0]).select(*near, text, "sim", F.explode("__ids").alias("candidate"))
+    best = first(alone.unionByName(ids), [*near, text], F.desc("sim"), "candidate")
+    lists = best.groupBy(*near, text).agg(F.array_sort(F.collect_list(F.struct(F.coalesce(-F.col("sim"), F.lit(float("inf"))).alias("order"), "candidate", "sim"))).alias("__best")).withColumnRenamed(text, "__text")
+    met = records.join(lists, on(records, lists) & records[text].eqNullSafe(lists["__text"])).select("id", F.explode(F.slice(F.filter("__best", lambda x: x["candidate"] != F.col("id")), 1, k)).alias("x"))
     w = Window.partitionBy("id").orderBy(F.desc("sim"), F.asc("candidate"))
-    scored = records.join(registry, within).where(F.col("id") != F.col("candidate")).select("id", "candidate", sim.alias("sim"))
-    return scored.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= k).drop("__n")
+    return met.select("id", "x.candidate", "x.sim").withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= k).drop("__n")
 
 
 def rule_arm(records: DataFrame, registry: DataFrame, *, candidate: Column, sim: Column, confirm: float = 0.90) -> DataFrame:

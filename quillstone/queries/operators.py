@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstone.functions import text as T
@@ -128,10 +128,12 @@ def dictionary(t: Tables) -> DataFrame:
     select id, candidate, sim from c qualify row_number() over (partition by id order by sim desc, candidate) <= 5""")
 def registry_search(t: Tables) -> DataFrame:
     """Same number, neighbouring year, then the five most similar titles."""
-    title = F.concat_ws(" ", "p_name", "p_type")
-    ours = t.part.select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("issn"), F.col("p_size").alias("year"), title.alias("x"))
-    theirs = t.part.select(F.col("p_partkey").alias("candidate"), F.col("p_brand").alias("c_issn"), F.col("p_size").alias("c_year"), title.alias("y"))
-    return linkage.registry_search(ours, theirs, within=(F.col("issn") == F.col("c_issn")) & (F.abs(F.col("year") - F.col("c_year")) <= 1), sim=F.round(T.levenshtein_sim(F.col("x"), F.col("y")), 6))
+    ours = t.part.select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("issn"), F.col("p_size").alias("year"), F.concat("p_name", F.lit(" "), "p_type").alias("title"))
+    return linkage.registry_search(ours, ours.withColumnRenamed("id", "candidate"), same=["issn"], band="year", width=1, text="title", sim=_rounded_sim)
+
+
+def _rounded_sim(a: Column, b: Column) -> Column:
+    return F.round(T.levenshtein_sim(a, b), 6)
 
 
 @frame("I4_progress", "select 4 as reports, count(*) as worked from nation")
@@ -513,11 +515,8 @@ def joined_search(t: Tables) -> DataFrame:
 
 @frame("J16_best_candidate", "with c as (select q.p_partkey id, c.p_partkey candidate, round(1 - levenshtein(q.p_type, c.p_type) / greatest(length(q.p_type), length(c.p_type))::double, 6) sim from part q join part c on c.p_name = q.p_name and c.p_partkey <> q.p_partkey where abs(q.p_size - c.p_size) <= 5) select id, candidate, sim from c qualify row_number() over (partition by id order by sim desc, candidate) = 1")
 def candidates(t: Tables) -> DataFrame:
-    a = t.part.select(F.col("p_partkey").alias("id"), "p_name", F.col("p_type").alias("a"), F.col("p_size").alias("s"))
-    b = t.part.select(F.col("p_partkey").alias("candidate"), "p_name", F.col("p_type").alias("b"), F.col("p_size").alias("s2"))
-    pairs = a.join(b, "p_name").where("candidate <> id and abs(s - s2) <= 5").withColumn("sim", F.round(T.levenshtein_sim(F.col("a"), F.col("b")), 6))
-    w = Window.partitionBy("id").orderBy(F.desc("sim"), "candidate")
-    return pairs.withColumn("n", F.row_number().over(w)).where("n = 1").select("id", "candidate", "sim")
+    parts = t.part.select(F.col("p_partkey").alias("id"), "p_name", "p_type", "p_size")
+    return linkage.registry_search(parts, parts.withColumnRenamed("id", "candidate"), same=["p_name"], band="p_size", width=5, text="p_type", sim=_rounded_sim, k=1)
 
 
 # Patches, checks and routing.
