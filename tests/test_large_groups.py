@@ -58,3 +58,21 @@ def test_best_of_one_large_class(spark):
 
 def test_registry_search_without_rows(spark):
     assert searched(spark, [], 1, 5).count() == 0
+
+
+@pytest.mark.parametrize("name", ["S16_registry_search", "J16_best_candidate"])
+def test_best_parts_with_nulls_and_repeats(spark, tmp_path, name):
+    """Null names and types, and rows that stand twice, as in SQL."""
+    duckdb = pytest.importorskip("duckdb")
+    from quillstone import catalog
+
+    r = random.Random(3)
+    names, types = ["hot bolt", "hot ring", None], ["LARGE", "SMALL", "ECONOMY", None]
+    rows = [(i, r.choice(names), r.choice(["B1", "B2", None]), r.choice(types), r.choice([1, 2, 3, 9, None]), 1.0) for i in range(120)]
+    columns = "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    spark.createDataFrame([*rows, *rows[:5]], columns).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view part as select * from '{tmp_path}/part.parquet/*.parquet'")
+    key = lambda z: (z[0], z[1], -1 if z[2] is None else z[2])
+    want = sorted(con.execute(catalog.oracle_sql()[name]).fetchall(), key=key)
+    assert sorted(map(tuple, catalog.queries()[name](spark, str(tmp_path)).collect()), key=key) == want
