@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -152,21 +152,47 @@ def eras(samples: DataFrame, *, least: int = 3) -> DataFrame:
 def grouped_credits(links: DataFrame) -> DataFrame:
     """(paper_id, grp, keep_id, author_id): credits of a paper that may be one person.
 
-    Grouping depends on order and is not transitive, so each paper is worked on by itself, sorted by
-    author. A paper's byline is short; ``spark`` holds one paper at a time.
+    Grouping depends on order and is not transitive, so each paper is worked on by itself, sorted by author (nulls last)
+    and name. Papers come sorted, many to a batch, and go on in the next; Python holds the byline of one paper at a time.
     """
-
-    def one(pdf):
-        import pandas as pd
-
-        pdf = pdf.sort_values("author_id")
-        out = []
-        for i, g in enumerate(names.group_credits(list(zip(pdf["author_id"].tolist(), pdf["name"].tolist(), strict=True)))):
-            keep = names.fullest(g).author_id
-            out += [(pdf["paper_id"].iloc[0], i, keep, c.author_id) for c in g]
-        return pd.DataFrame(out, columns=["paper_id", "grp", "keep_id", "author_id"])
-
-    return links.select("paper_id", "author_id", "name").groupBy("paper_id").applyInPandas(one, "paper_id long, grp long, keep_id long, author_id long")
+    import pyarrow as pa
+
+    out = pa.schema([(c, pa.int64()) for c in ("paper_id", "grp", "keep_id", "author_id")])
+
+    def run(batches):
+        grouping = lru_cache(1 << 16)(names.group_names)
+        paper, authors, given, rows = None, [], [], ([], [], [], [])
+
+        def close() -> None:
+            for at, members, keep in (grouping if len(given) <= 32 else names.group_names)(tuple(given)):
+                rows[0].extend([paper] * len(members))
+                rows[1].extend([at] * len(members))
+                rows[2].extend([authors[keep]] * len(members))
+                rows[3].extend([authors[i] for i in members])
+            authors.clear()
+            given.clear()
+
+        def flush():
+            batch = pa.record_batch([pa.array(c, pa.int64()) for c in rows], schema=out)
+            for c in rows:
+                c.clear()
+            return batch
+
+        for batch in batches:
+            for p, a, n in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if p != paper:
+                    close()
+                    paper = p
+                    if len(rows[0]) >= 1 << 16:
+                        yield flush()
+                authors.append(a)
+                given.append(n)
+        close()
+        yield flush()
+
+    whole = links.select(F.col("paper_id").cast("long"), F.col("author_id").cast("long"), "name")
+    dealt = whole.repartition("paper_id").sortWithinPartitions("paper_id", F.asc_nulls_last("author_id"), "name")
+    return dealt.mapInArrow(run, "paper_id long, grp long, keep_id long, author_id long")
 
 
 def merge_gates(groups: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from quillstone.functions import names
 from quillstone.functions import text as T
 from quillstone.operators import linkage
 
@@ -76,3 +77,37 @@ def test_best_parts_with_nulls_and_repeats(spark, tmp_path, name):
     key = lambda z: (z[0], z[1], -1 if z[2] is None else z[2])
     want = sorted(con.execute(catalog.oracle_sql()[name]).fetchall(), key=key)
     assert sorted(map(tuple, catalog.queries()[name](spark, str(tmp_path)).collect()), key=key) == want
+
+
+def test_credits_paper_by_paper(spark):
+    """Papers that go on from batch to batch give the groups of their own bylines."""
+    r = random.Random(5)
+    forms = ["Smith, Ann", "Smith, A.", "Smith, Bo", "Smith, B.", "Lee S.", "Ann Lee", "", None]
+    links = [(r.choice([*range(40), None]), r.choice([*range(9), None]), r.choice(forms)) for _ in range(600)]
+    by = {}
+    for p, a, n in links:
+        by.setdefault(p, []).append((a is None, -1 if a is None else a, n is not None, n or "", a, n))
+    want = []
+    for p, credits in by.items():
+        credits.sort(key=lambda c: c[:4])
+        for i, g in enumerate(names.group_credits([(k, c[5]) for k, c in enumerate(credits)])):
+            keep = names.fullest(g).author_id
+            want += [(p, i, credits[keep][4], credits[c.author_id][4]) for c in g]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = linkage.grouped_credits(spark.createDataFrame(links, "paper_id long, author_id long, name string")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+def test_names_alike_are_compared_once(monkeypatch):
+    calls, compatible = [0], names.compatible
+
+    def counted(a, b):
+        calls[0] += 1
+        return compatible(a, b)
+
+    monkeypatch.setattr(names, "compatible", counted)
+    groups = names.group_credits([(i, f"Smith, {'AB'[i % 2]}.") for i in range(1000)])
+    assert [len(g) for g in groups] == [500, 500] and calls[0] <= 2000
