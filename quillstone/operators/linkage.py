@@ -102,7 +102,11 @@ def registry_search(records: DataFrame, registry: DataFrame, *, same: list[str],
 
 def rule_arm(records: DataFrame, registry: DataFrame, *, candidate: Column, sim: Column, confirm: float = 0.90) -> DataFrame:
     """Records whose identifier follows from a rule: no_rule_match, candidate_not_in_crossref, title_mismatch or recovered."""
-    found = records.withColumn("candidate", candidate).join(registry.select(F.lower("doi").alias("__doi"), F.col("title").alias("registry_title")), F.lower("candidate") == F.col("__doi"), "left")
+    # Records without a candidate meet nothing; they are dealt by their own columns, so that they don't share a task.
+    made = records.withColumn("candidate", candidate)
+    key = F.coalesce(F.lower("candidate"), F.xxhash64(*records.columns).cast("string"))
+    entries = registry.select(F.lower("doi").alias("__doi"), F.col("title").alias("registry_title"))
+    found = made.withColumn("__key", key).join(entries, (F.col("__key") == F.col("__doi")) & F.col("candidate").isNotNull(), "left").drop("__key")
     verdict = F.when(F.col("candidate").isNull(), "no_rule_match").when(F.col("__doi").isNull(), "candidate_not_in_crossref").when(sim >= confirm, "recovered").otherwise("title_mismatch")
     return found.withColumn("verdict", verdict).withColumn("tier", F.when(F.col("verdict") == "recovered", "A").otherwise("C")).drop("__doi")
 

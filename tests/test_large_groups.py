@@ -111,3 +111,19 @@ def test_names_alike_are_compared_once(monkeypatch):
     monkeypatch.setattr(names, "compatible", counted)
     groups = names.group_credits([(i, f"Smith, {'AB'[i % 2]}.") for i in range(1000)])
     assert [len(g) for g in groups] == [500, 500] and calls[0] <= 2000
+
+
+def test_records_without_a_candidate_are_dealt_out(spark):
+    """Nulls don't meet in one task, and have one row each."""
+    rows = spark.range(4000).select("id", F.when(F.col("id") % 100 == 0, F.concat(F.lit("D"), "id")).alias("doi"), F.lit("t").alias("title"))
+    registry = spark.createDataFrame([("d0", "t"), ("d100", "u"), (None, "t")], "doi string, title string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = linkage.rule_arm(rows, registry, candidate=F.col("doi"), sim=F.when(F.col("title") == F.col("registry_title"), 1.0).otherwise(0.0))
+        sizes = [r[0] for r in found.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 4000 and max(sizes) < 2000
+    assert dict(found.groupBy("verdict").count().collect()) == {"no_rule_match": 3960, "candidate_not_in_crossref": 38, "recovered": 1, "title_mismatch": 1}
