@@ -199,6 +199,40 @@ def grouped_credits(links: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "paper_id long, grp long, keep_id long, author_id long")
 
 
+def _blocks(rows: DataFrame, by: str, value: str, size: int) -> DataFrame:
+    """(by, nth, all): the values of a group in order, cut into blocks."""
+    nth = F.row_number().over(Window.partitionBy(by).orderBy(value)) - 1
+    return rows.select(by, value).withColumn("nth", F.floor(nth / size)).groupBy(by, "nth").agg(F.sort_array(F.collect_list(value)).alias("all"))
+
+
+def _expanded(met: DataFrame) -> DataFrame:
+    """(x, y): each value of ``xs`` with each of ``ys``, where they are one block (``same``) with the later ones only.
+
+    Pairs of blocks are dealt out one by one, so that a task's work doesn't grow with a group.
+    """
+    spark = met.sparkSession
+    dealt = met.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism))
+    one = dealt.select("ys", "same", F.posexplode("xs").alias("i", "x"))
+    return one.select("x", "i", "same", F.posexplode("ys").alias("j", "y")).where(~F.col("same") | (F.col("i") < F.col("j"))).select("x", "y")
+
+
+def name_pairs(people: DataFrame, *, size: int = 1024) -> DataFrame:
+    """(a, b): ids a < b of people (id, p: a parsed name or null) that may be one person.
+
+    Two forms of a name are compared once, however many people have them. The result is as long as the pairs by definition.
+    """
+    people = people.dropna(subset=["id", "p"])
+    forms = _blocks(people.select(F.col("p.surname").alias("surname"), "p").distinct(), "surname", "p", max(1, size // 8))
+    left, right = forms.select("surname", F.col("nth").alias("m"), F.col("all").alias("xs")), forms.select("surname", F.col("nth").alias("n"), F.col("all").alias("ys"))
+    other = _expanded(left.join(right, "surname").where("m <= n").select("xs", "ys", (F.col("m") == F.col("n")).alias("same")))
+    links = other.where(names.compatible_columns(F.col("x"), F.col("y"))).unionAll(people.select(F.col("p").alias("x"), F.col("p").alias("y")).distinct())
+    ids = _blocks(people, "p", "id", size)
+    xs, ys = ids.select(F.col("p").alias("x"), F.col("nth").alias("m"), F.col("all").alias("xs")), ids.select(F.col("p").alias("y"), F.col("nth").alias("n"), F.col("all").alias("ys"))
+    met = links.join(xs, "x").join(ys, "y").withColumn("own", F.col("x") == F.col("y")).where("not own or m <= n")
+    pairs = _expanded(met.select("xs", "ys", (F.col("own") & (F.col("m") == F.col("n"))).alias("same"))).where("x <> y")
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+
 def merge_gates(groups: DataFrame) -> DataFrame:
     """Groups of credits with ``refused``: the first reason against a merge, or null.
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstone.functions import text as T
-from quillstone.functions.names import INITIALS, NO_NAME, PARTICLES, compatible_columns, parsed
+from quillstone.functions.names import INITIALS, NO_NAME, PARTICLES, parsed
 from quillstone.functions.names import quality as quality_of
 from quillstone.operators import graph, linkage, quality, search
 from quillstone.queries.base import frame, over, view
@@ -1005,6 +1005,4 @@ _DIFFERENT = "len(list_filter(list_zip(string_split(a.given, ' '), string_split(
 @frame("L2_compatible_names", f"with n as ({_spelled('s_suppkey', 'supplier')}), r as ({_READ}) select a.id as a, b.id as b from r a join r b on a.surname = b.surname and a.id < b.id where a.surname <> '' and {_DIFFERENT} = 0")
 def compatible_pairs(t: Tables) -> DataFrame:
     """Names are parsed once each, before they meet."""
-    one = _names_of(t, "s_suppkey", "supplier").select("id", parsed(F.col("name")).alias("p")).where("p is not null")
-    a, b = one.select(F.col("id").alias("a"), F.col("p").alias("x"), "p.surname"), one.select(F.col("id").alias("b"), F.col("p").alias("y"), "p.surname")
-    return a.join(b, "surname").where(F.col("a") < F.col("b")).where(compatible_columns(F.col("x"), F.col("y"))).select("a", "b")
+    return linkage.name_pairs(_names_of(t, "s_suppkey", "supplier").select("id", parsed(F.col("name")).alias("p")))

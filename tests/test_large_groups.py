@@ -127,3 +127,20 @@ def test_records_without_a_candidate_are_dealt_out(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sum(sizes) == 4000 and max(sizes) < 2000
     assert dict(found.groupBy("verdict").count().collect()) == {"no_rule_match": 3960, "candidate_not_in_crossref": 38, "recovered": 1, "title_mismatch": 1}
+
+
+@pytest.mark.parametrize("size", [2, 1024])
+def test_pairs_of_names_in_blocks(spark, size):
+    r = random.Random(size)
+    people = [(r.choice([*range(60), None]), r.choice(["Smith, Ann", "Smith, A.", "A. Smith", "Smith, Bo", "Smith", "Lee S.", "Lee, Sue", "", None])) for _ in range(90)]
+    read = [(i, names.parse_name(n)) for i, n in people if i is not None and names.parse_name(n)]
+    want = sorted((i, j) for i, x in read for j, y in read if i < j and names.compatible(x, y))
+    df = spark.createDataFrame(people, "id long, name string").select("id", names.parsed(F.col("name")).alias("p"))
+    assert sorted(map(tuple, linkage.name_pairs(df, size=size).collect())) == want
+
+
+def test_pairs_of_one_name_are_dealt_out(spark):
+    n = 3000
+    df = spark.range(n).select("id", names.parsed(F.lit("Smith, A.")).alias("p"))
+    sizes = [r[0] for r in linkage.name_pairs(df, size=256).groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert sum(sizes) == n * (n - 1) // 2 and max(sizes) < sum(sizes) / 4
