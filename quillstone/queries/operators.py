@@ -880,8 +880,15 @@ def _core_sql(least: int, rounds: int) -> str:
     return "with " + ", ".join(parts)
 
 
+#: Rows of members a task: some two pairs each.
+_TASK_ROWS = 1 << 19
+
+
 def _members(t: Tables) -> DataFrame:
-    return t.lineitem.select(F.col("l_orderkey").alias("item"), F.col("l_partkey").alias("member")).distinct()
+    """Items are dealt out before they are counted, to as many tasks as their number asks for: what a task holds doesn't grow with the table."""
+    rows = t.lineitem.select(F.col("l_orderkey").alias("item"), F.col("l_partkey").alias("member"))
+    tasks = max(int(t.spark.conf.get("spark.sql.shuffle.partitions")), -(-t.lineitem.count() // _TASK_ROWS))
+    return rows.repartition(tasks, "item").distinct()
 
 
 @frame("G1_edges", f"with {_MEMBERS}, {_EDGES} select a, b, w from e")
