@@ -17,8 +17,8 @@ def pairs_within(members: DataFrame, item: str = "item", member: str = "member")
     An item's pairs are the square of its members by definition; an item is a short list, such as a byline.
     """
     sets = members.groupBy(item).agg(F.array_sort(F.collect_set(member)).alias("all"))
-    pairs = F.flatten(F.transform("all", lambda a, i: F.transform(F.slice(F.col("all"), i + 2, F.size("all")), lambda b: F.struct(a.alias("a"), b.alias("b")))))
-    return sets.where(F.size("all") > 1).select(F.inline(pairs))
+    firsts = sets.where(F.size("all") > 1).select("all", F.posexplode("all").alias("i", "a"))
+    return firsts.select("a", F.explode(F.slice("all", F.col("i") + 2, F.size("all"))).alias("b"))
 
 
 def edges(members: DataFrame) -> DataFrame:
