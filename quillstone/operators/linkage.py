@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillstone.functions import names
+from quillstone.plans.checkpoint import checkpoint
 
 
 def resolve_duplicates(rows: DataFrame, *, group: list[Column], best: list[Column], id_col: str = "id") -> DataFrame:
@@ -63,7 +64,7 @@ def best_candidate(pairs: DataFrame, *, sim: str, author: str, eligible: Column,
     return top.withColumn("verdict", verdict).withColumn("tier", F.when(F.col("verdict") == "recovered", "B").otherwise("C")).drop("__n", "__sim2", "__author2", "__ok2", "__ok")
 
 
-def registry_search(records: DataFrame, registry: DataFrame, *, same: list[str], band: str, width: int, text: str, sim: Callable[[Column, Column], Column], k: int = 5) -> DataFrame:
+def registry_search(records: DataFrame, registry: DataFrame, *, same: list[str], band: str, width: int, text: str, sim: Callable[[Column, Column], Column], k: int = 5, size: int = 1024) -> DataFrame:
     """(id, candidate, sim): the k registry entries most like each record in ``text``, ties to the smaller candidate.
 
     Candidates have other ids, are equal in ``same``, and differ by ``width`` at most in ``band``, a whole number. records have
@@ -71,33 +72,51 @@ def registry_search(records: DataFrame, registry: DataFrame, *, same: list[str],
 
     Rows that agree in all of these columns have the same candidates but for themselves. So texts are compared once for two
     classes of rows, and of a class only its first ids stand for it: as many as can be among the best of any row. Where a
-    text is in the band often enough, no other text is compared with it.
+    text is in the band often enough, no other text is compared with it. Other texts meet in blocks that are dealt out one
+    by one, and of a block a text keeps its best at once, so that comparisons are never rows.
     """
     near = [*same, band]
     whole = lambda rows, key: rows.select(key, *same, F.col(band).cast("long").alias(band), text).dropna(subset=[key, *near])
     records, registry = whole(records, "id"), whole(registry, "candidate")
     # A record leaves out its own id, which can be on so many rows.
     keep = k + (registry.groupBy("candidate").count().agg(F.max("count")).first()[0] or 0)
+    first = lambda x: F.slice(F.sort_array(x), 1, keep)
+    # What sorts as SQL does, nulls last; entries are (order, candidate).
+    order = lambda a, b: F.coalesce(-sim(a, b), F.lit(float("inf")))
+    entries = lambda o, ids: F.transform(ids, lambda c: F.struct(o.alias("order"), c.alias("candidate")))
+    named = lambda value, f: F.transform(F.array(value), f)[0]  # noqa: E731 (worked out once)
+
+    w = Window.partitionBy(*near, text).orderBy("candidate")
+    classes = registry.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= keep).groupBy(*near, text).agg(F.collect_list("candidate").alias("__ids"))
+    spread = classes.withColumn(band, F.explode(F.sequence(F.col(band) - width, F.col(band) + width))).withColumn("__asked", F.lit(False))
+    asked = records.select(*near, text).distinct().withColumns({"__ids": F.lit(None), "__asked": F.lit(True)})
+    texts = checkpoint(spread.unionByName(asked).groupBy(*near, text).agg(first(F.flatten(F.collect_list("__ids"))).alias("__ids"), F.max("__asked").alias("__asked")))
+    # Of texts this long, equal and almost equal ones could have the same rounded measure.
+    enough = (F.size("__ids") >= keep) & F.coalesce(F.char_length(text) < 1_000_000, F.lit(False))
+    alone = texts.where(F.col("__asked") & enough).select(*near, text, named(order(F.col(text), F.col(text)), lambda o: entries(o, F.col("__ids"))).alias("__best"))
 
-    def first(rows: DataFrame, by: list[str], *order) -> DataFrame:
-        return rows.withColumn("__n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("__n") <= keep).drop("__n")
+    left = _text_blocks(texts.where(F.col("__asked") & ~enough).select(*near, F.struct(F.col(text).alias("text")).alias("__x")), near, max(1, size // 4)).withColumnRenamed("__all", "__left")
+    right = _text_blocks(texts.where(F.size("__ids") > 0).select(*near, F.struct(F.col(text).alias("text"), "__ids").alias("__x")), near, size).withColumnRenamed("__all", "__right")
+    met = _dealt(left.join(right, near)).select(*near, "__right", F.explode("__left.text").alias(text))
+    tagged = lambda orders: F.zip_with(orders, "__right", lambda o, x: F.struct(o.alias("order"), x["__ids"].alias("ids")))
+    last = lambda orders: F.sort_array(orders)[F.least(F.lit(keep), F.size(orders)) - 1]
+    cut = lambda orders: named(last(orders), lambda most: F.filter(tagged(orders), lambda x: x["order"] <= most))
+    nearest = named(F.transform("__right", lambda x: order(F.col(text), x["text"])), cut)
+    scored = met.select(*near, text, first(F.flatten(F.transform(nearest, lambda x: entries(x["order"], x["ids"])))).alias("__best"))
+    best = scored.groupBy(*near, text).agg(first(F.flatten(F.collect_list("__best"))).alias("__best"))
+
+    lists = alone.unionByName(best).select(*[F.col(c).alias(f"__{c}") for c in [*near, text]], "__best")
+    on = reduce(lambda x, y: x & y, [F.col(c) == F.col(f"__{c}") for c in near]) & F.col(text).eqNullSafe(F.col(f"__{text}"))
+    found = records.join(lists, on).select("id", F.explode(F.slice(F.filter("__best", lambda x: x["candidate"] != F.col("id")), 1, k)).alias("x"))
+    ranked = found.withColumn("__n", F.row_number().over(Window.partitionBy("id").orderBy("x"))).where(F.col("__n") <= k)
+    return ranked.select("id", "x.candidate", F.when(F.col("x.order") < float("inf"), -F.col("x.order")).alias("sim"))
 
-    spread = first(registry, [*near, text], "candidate").withColumn(band, F.explode(F.sequence(F.col(band) - width, F.col(band) + width)))
-    within = first(spread, [*near, text], "candidate").groupBy(*near, text).agg(F.sort_array(F.collect_list("candidate")).alias("__ids")).withColumnRenamed(text, "__text")
-    asked = records.select(*near, text).distinct()
-    on = lambda a, b: reduce(lambda x, y: x & y, [a[c] == b[c] for c in near])
-    own = asked.join(within, on(asked, within) & asked[text].eqNullSafe(within["__text"]), "left").select(*[asked[c] for c in near], asked[text], "__ids")
-    # Of texts this long, equal and almost equal ones could have the same rounded measure.
-    enough = F.coalesce((F.size("__ids") >= keep) & (F.char_length(text) < 1_000_000), F.lit(False))
-    alone = own.where(enough).select(*near, text, sim(F.col(text), F.col(text)).alias("sim"), F.explode("__ids").alias("candidate"))
-    rest = own.where(~enough).drop("__ids")
-    scored = rest.join(within, near).select(*near, text, sim(F.col(text), F.col("__text")).alias("sim"), "__ids")
-    ids = first(scored, [*near, text], F.desc("sim"), F.col("__ids")[0]).select(*near, text, "sim", F.explode("__ids").alias("candidate"))
-    best = first(alone.unionByName(ids), [*near, text], F.desc("sim"), "candidate")
-    lists = best.groupBy(*near, text).agg(F.array_sort(F.collect_list(F.struct(F.coalesce(-F.col("sim"), F.lit(float("inf"))).alias("order"), "candidate", "sim"))).alias("__best")).withColumnRenamed(text, "__text")
-    met = records.join(lists, on(records, lists) & records[text].eqNullSafe(lists["__text"])).select("id", F.explode(F.slice(F.filter("__best", lambda x: x["candidate"] != F.col("id")), 1, k)).alias("x"))
-    w = Window.partitionBy("id").orderBy(F.desc("sim"), F.asc("candidate"))
-    return met.select("id", "x.candidate", "x.sim").withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= k).drop("__n")
+
+def _text_blocks(rows: DataFrame, by: list[str], size: int, chars: int = 1 << 20) -> DataFrame:
+    """(by, __all): the rows' ``__x`` in order of its text, cut into blocks of so many, and of about so many characters."""
+    w = Window.partitionBy(*by).orderBy("__x.text")
+    nth, far = F.row_number().over(w) - 1, F.sum(F.coalesce(F.char_length("__x.text"), F.lit(0))).over(w)
+    return rows.select("*", F.floor(nth / size).alias("__nth"), F.floor(far / chars).alias("__far")).groupBy(*by, "__nth", "__far").agg(F.collect_list("__x").alias("__all")).drop("__nth", "__far")
 
 
 def rule_arm(records: DataFrame, registry: DataFrame, *, candidate: Column, sim: Column, confirm: float = 0.90) -> DataFrame:
@@ -205,14 +224,18 @@ def _blocks(rows: DataFrame, by: str, value: str, size: int) -> DataFrame:
     return rows.select(by, value).withColumn("nth", F.floor(nth / size)).groupBy(by, "nth").agg(F.sort_array(F.collect_list(value)).alias("all"))
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows one by one to more tasks than there are cores, which AQE doesn't join again."""
+    spark = rows.sparkSession
+    return rows.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism))
+
+
 def _expanded(met: DataFrame) -> DataFrame:
     """(x, y): each value of ``xs`` with each of ``ys``, where they are one block (``same``) with the later ones only.
 
     Pairs of blocks are dealt out one by one, so that a task's work doesn't grow with a group.
     """
-    spark = met.sparkSession
-    dealt = met.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism))
-    one = dealt.select("ys", "same", F.posexplode("xs").alias("i", "x"))
+    one = _dealt(met).select("ys", "same", F.posexplode("xs").alias("i", "x"))
     return one.select("x", "i", "same", F.posexplode("ys").alias("j", "y")).where(~F.col("same") | (F.col("i") < F.col("j"))).select("x", "y")
 
 

@@ -57,6 +57,32 @@ def test_best_of_one_large_class(spark):
     assert got.agg(F.count(F.lit(1)), F.min("sim"), F.max("candidate")).first() == (2 * n, 1.0, 4)
 
 
+def test_best_of_blocks_by_brute_force(spark):
+    """Texts that meet in several blocks, with ties between them, nulls and ids on several rows."""
+    r = random.Random(11)
+    rows = [(r.randrange(90), r.choice("ab"), r.randrange(4), r.choice(["a", "b", "ab", "abc", "abd", "xbc", "abcd", "zz", None])) for _ in range(60)]
+    df = spark.createDataFrame(rows, "id long, g string, y int, x string")
+    got = linkage.registry_search(df, df.withColumnRenamed("id", "candidate"), same=["g"], band="y", width=1, text="x", sim=lambda a, b: F.round(T.levenshtein_sim(a, b), 6), k=4, size=4)
+    key = lambda z: (z[0], z[1], -1 if z[2] is None else z[2])
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(brute(rows, 1, 4), key=key)
+
+
+def test_comparisons_are_not_rows(spark):
+    """700 texts of one band were 490,000 rows, joined and sorted in one task."""
+    n = 700
+    rows = spark.range(n).select("id", F.lit("g").alias("g"), F.lit(1).alias("y"), F.hex(F.col("id") * 7919).alias("x"))
+    got = linkage.registry_search(rows, rows.withColumnRenamed("id", "candidate"), same=["g"], band="y", width=1, text="x", sim=T.levenshtein_sim, k=1)
+    assert len(got.collect()) == n
+
+    def most(node):
+        kind = node.getClass().getSimpleName()
+        inner = [node.executedPlan()] if kind == "AdaptiveSparkPlanExec" else [node.plan()] if kind.endswith("QueryStageExec") else [node.children().apply(i) for i in range(node.children().size())]
+        own = node.metrics().get("numOutputRows")
+        return max([own.get().value() if own.isDefined() else 0, *map(most, inner)])
+
+    assert n <= most(got._jdf.queryExecution().executedPlan()) < 20 * n
+
+
 def test_registry_search_without_rows(spark):
     assert searched(spark, [], 1, 5).count() == 0
 
