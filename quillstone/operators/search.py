@@ -17,16 +17,42 @@ from quillstone.functions.text import trigram_sim
 K1, B = 1.2, 0.75
 POOL = 60
 STATEMENTS = 1000
+#: So many ids are broadcast at most.
+SHARED = 1 << 18
 
 
 def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
+def term_counts(w: Column) -> Column:
+    """(term, tf, length) of each distinct word, in order, and one entry without tf after them: the runs of the sorted words."""
+    named = lambda value, f: F.transform(F.array(value), f)[0]  # noqa: E731 (worked out once)
+
+    def runs(s: Column) -> Column:
+        begins = F.filter(F.sequence(F.lit(0), F.size(s)), lambda i: ~F.get(s, i).eqNullSafe(F.get(s, i - 1)))
+        entry = lambda at, i, j: F.struct(F.get(s, i).alias("term"), (F.get(at, j + 1) - i).cast("long").alias("tf"), F.size(s).cast("long").alias("length"))
+        return named(begins, lambda at: F.transform(at, lambda i, j: entry(at, i, j)))
+
+    return named(F.sort_array(w), runs)
+
+
 def tokens(docs: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
-    """(id, term, tf, length): the token table, a row for each term of a document."""
-    split = docs.select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("w"))
-    return split.select("id", F.size("w").cast("long").alias("length"), F.explode("w").alias("term")).groupBy("id", "length", "term").agg(F.count(F.lit(1)).alias("tf")).select("id", "term", "tf", "length")
+    """(id, term, tf, length): the token table, a row for each term of an id.
+
+    Words are counted within their row, without a shuffle. Only where several rows have one id are their counts put
+    together: tf is their sum, length that of the longest of them that has the term.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    counted = lambda x: x.select("id", F.explode(term_counts(words(F.col("text")))).alias("x")).select("id", "x.*").where("tf is not null")
+    shared = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("id").alias("__id"))
+    n = shared.count()
+    if not n:
+        return counted(rows)
+    some = F.broadcast(shared) if n <= SHARED else shared
+    on = F.col("id").eqNullSafe(F.col("__id"))
+    put = counted(rows.join(some, on, "left_semi")).groupBy("id", "term").agg(F.sum("tf").alias("tf"), F.max("length").alias("length"))
+    return counted(rows.join(some, on, "left_anti")).unionByName(put)
 
 
 @dataclass

@@ -105,6 +105,38 @@ def test_best_parts_with_nulls_and_repeats(spark, tmp_path, name):
     assert sorted(map(tuple, catalog.queries()[name](spark, str(tmp_path)).collect()), key=key) == want
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_tokens_of_shared_ids(spark, tmp_path, monkeypatch, broadcast):
+    """Ids on several rows, null ones too, and texts without words, as in SQL."""
+    duckdb = pytest.importorskip("duckdb")
+    from quillstone import catalog
+    from quillstone.operators import search
+
+    if not broadcast:
+        monkeypatch.setattr(search, "SHARED", 0)
+    rows = [(1, "b a b"), (1, "a Ä, c d\n1"), (1, None), (2, "a"), (3, None), (4, ""), (5, "-- !"), (None, "a a"), (None, "x a y"), (6, "Z z z"), (7, " q "), (7, "q")]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    got = catalog.queries()["T_token_table"](spark, str(tmp_path))
+    assert got.columns == ["id", "term", "tf", "length"]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, con.execute(catalog.oracle_sql()["T_token_table"]).fetchall()))
+
+
+def test_tokens_are_counted_within_rows(spark):
+    """No term is shuffled, and a long text's words are those of a count by hand."""
+    from collections import Counter
+
+    from quillstone.operators import search
+
+    r = random.Random(2)
+    texts = {i: " ".join(r.choices(["ab", "a", "b", "ba", "é", "x1"], k=size)) for i, size in enumerate((1, 2, 7, 30_000))}
+    got = search.tokens(spark.createDataFrame([*texts.items()], "id long, text string"))
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    want = [(i, t, n, len(x.split())) for i, x in texts.items() for t, n in Counter(x.split()).items()]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_credits_paper_by_paper(spark):
     """Papers that go on from batch to batch give the groups of their own bylines."""
     r = random.Random(5)
